@@ -164,18 +164,17 @@ def containing(texts: DataFrame, text: str, terms: DataFrame, term: str) -> Data
     """
     keyed = terms.select(term).filter(F.length(term) > 0).distinct().withColumn(
         "_gram", F.left(term, F.lit(GRAM)))
-    grams = [
-        F.when(F.length(text) >= width, F.transform(
-            F.sequence(F.lit(1), F.length(text) - (width - 1)),
-            lambda i, width=width: F.substring(text, i, F.lit(width)))
-        ).otherwise(F.array().cast("array<string>"))
-        for width in range(1, GRAM + 1)
-    ]
+    def grams(width: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(text) - (width - 1))
+        found = F.transform(starts, lambda i: F.substring(text, i, F.lit(width)))
+        return F.when(F.length(text) >= width, found).otherwise(F.array().cast("array<string>"))
+
     # Terms of fewer characters than GRAM are rare; their widths are only
     # unfolded when there are any.
     widths = {row["w"] for row in keyed.select(F.length("_gram").alias("w")).distinct().collect()}
-    wanted = [g for width, g in enumerate(grams, start=1) if width in widths]
-    unfolded = F.array_distinct(F.concat(*wanted)) if wanted else F.array().cast("array<string>")
+    unfolded = F.array().cast("array<string>")
+    if widths:
+        unfolded = F.array_distinct(F.concat(*[grams(w) for w in sorted(widths)]))
     return (
         texts.withColumn("_gram", F.explode(unfolded))
         .join(keyed, "_gram")

@@ -99,9 +99,15 @@ def swapped(word: Column) -> Column:
 
 
 def edit_distance(a: Column, b: Column) -> Column:
-    """Edits between two words up to 2, a swap of neighbours counting as one; else null."""
+    """Edits between two words up to 2, a swap of neighbours counting as one; else null.
+
+    With a swap as one of two edits, the other edit may come before or after
+    it, so the swap is tried on either word.
+    """
     plain = F.levenshtein(a, b)
-    one_swap = F.array_min(F.transform(swapped(a), lambda s: F.levenshtein(s, b) + 1))
+    one_swap = F.array_min(F.concat(
+        F.transform(swapped(a), lambda s: F.levenshtein(s, b)),
+        F.transform(swapped(b), lambda s: F.levenshtein(s, a)))) + 1
     two_swaps = F.exists(F.flatten(F.transform(swapped(a), swapped)), lambda s: s == b)
     return (
         F.when(plain <= 1, plain)

@@ -626,7 +626,7 @@ DOC_COUNTRY = """doc_country AS (
   JOIN dim_countries c ON l.listed = c.country_name OR l.listed = c.country_code)"""
 NODES = """nodes AS (
   SELECT 'Country' AS type, country_code AS id, 'code=' || country_code || '|income_group=' || income_group || '|name='
-         || country_name || '|region=' || region AS properties FROM dim_countries
+         || coalesce(country_name, '') || '|region=' || region AS properties FROM dim_countries
   UNION ALL SELECT 'Indicator', indicator_code, 'code=' || indicator_code || '|description=' || description || '|name='
          || indicator_name || '|source_system=' || source_system || '|unit=' || unit FROM dim_indicators
   UNION ALL SELECT DISTINCT 'IndicatorCategory', category, 'name=' || category FROM dim_indicators
@@ -735,8 +735,8 @@ sql("graph_expand", "SELECT query_id, place, type, id FROM expanded", *EXPANSION
 
 WEIGHT = "CASE type " + " ".join(f"WHEN '{t}' THEN CAST({w} AS DOUBLE)" for t, w in fv.TYPE_WEIGHTS) + " ELSE CAST(1 AS DOUBLE) END"
 NODE_PROPS = """node_props AS (
-  SELECT 'Country' AS type, country_code AS id, country_name AS name, NULL AS description, NULL AS category, region,
-         income_group, NULL AS title, NULL AS content FROM dim_countries
+  SELECT 'Country' AS type, country_code AS id, country_name AS name, NULL::VARCHAR AS description,
+         NULL::VARCHAR AS category, region, income_group, NULL::VARCHAR AS title, NULL::VARCHAR AS content FROM dim_countries
   UNION ALL SELECT 'Indicator', indicator_code, indicator_name, description, NULL, NULL, NULL, NULL, NULL FROM dim_indicators
   UNION ALL SELECT DISTINCT 'IndicatorCategory', category, category, NULL, NULL, NULL, NULL, NULL, NULL FROM dim_indicators
   UNION ALL SELECT 'Document', doc_id, NULL, NULL, NULL, NULL, NULL, title, abstract FROM docs)"""
@@ -819,7 +819,7 @@ RETRIEVAL = [
   UNION ALL SELECT query_id, 1, place, type, id FROM expanded)""", "true", 70),
     """shown AS (
   SELECT r.query_id, r.rank, r.type, r.id, a.props.indicator_name AS name, a.props.description AS description,
-         a.props.category AS category, NULL AS region, NULL AS income_group, NULL AS title, NULL AS content
+         a.props.category AS category, NULL::VARCHAR AS region, NULL::VARCHAR AS income_group, NULL::VARCHAR AS title, NULL::VARCHAR AS content
   FROM ranked r JOIN anchors a ON r.query_id = a.query_id AND r.type = a.type AND r.id = a.id WHERE r.part = 0
   UNION ALL
   SELECT r.query_id, r.rank, r.type, r.id, p.name, p.description, p.category, p.region, p.income_group, p.title, p.content
@@ -880,7 +880,7 @@ sql("rate_limit_violations", f"""
 SELECT {windowed('1 day')}, user_id, count(*) AS n_events FROM events GROUP BY ALL HAVING count(*) > 5""")
 BOUNDS = [5, 10, 25, 50, 75, 100, 150, 200, 300]
 sql("p95_window", f"""
-SELECT window_start, window_end, n_events, round(coalesce(min(CASE WHEN cum >= wanted THEN
+SELECT window_start, window_end, n_events, round(coalesce(min(CASE WHEN cum >= wanted AND below < wanted THEN
          low + (high - low) * (wanted - below) / CAST(cum - below AS DOUBLE) END), 300), 6) AS quantile
 FROM (
   SELECT w.*, b.low, b.high, n_events * CAST(0.95 AS DOUBLE) AS wanted,
