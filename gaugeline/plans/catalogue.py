@@ -27,7 +27,6 @@ from gaugeline.plans import adapt, retrieval
 from gaugeline.plans.adapt import table
 from gaugeline.session import materialize, new_table_path
 from gaugeline.sources import landing, sinks, tables
-from gaugeline.streaming.events import with_event_time
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -811,7 +810,7 @@ def session_uuid(conv: Column) -> Column:
 def chat_messages(spark, sf) -> DataFrame:
     """Turns as messages, a second apart, conversations a minute apart."""
     seconds = F.col("conv_id") * 60 + F.col("turn")
-    created = F.timestamp_seconds(F.lit(1704067200) + seconds).cast("timestamp_ntz")
+    created = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
     return table(spark, sf, "conversations").select(
         session_uuid(F.col("conv_id")).alias("session_id"), "role", F.col("text").alias("content"),
         created.alias("created_at"))
@@ -851,17 +850,9 @@ def append_messages(spark, sf):
 # --- Event metrics ---------------------------------------------------------------------
 
 
-def timed_events(spark, sf) -> DataFrame:
-    return with_event_time(table(spark, sf, "events"))
-
-
-def plain_times(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
-
-
 @query
 def rate_per_minute(spark, sf):
-    return plain_times(metrics.rate(timed_events(spark, sf)))
+    return metrics.rate(table(spark, sf, "events"))
 
 
 VALUE_BOUNDS = [5.0, 10.0, 25.0, 50.0, 75.0, 100.0, 150.0, 200.0, 300.0]
@@ -869,26 +860,26 @@ VALUE_BOUNDS = [5.0, 10.0, 25.0, 50.0, 75.0, 100.0, 150.0, 200.0, 300.0]
 
 @query
 def p95_window(spark, sf):
-    found = metrics.histogram_quantile(timed_events(spark, sf), "value", VALUE_BOUNDS, 0.95, "1 hour")
-    return plain_times(found).withColumn("quantile", F.round("quantile", 6))
+    found = metrics.histogram_quantile(table(spark, sf, "events"), "value", VALUE_BOUNDS, 0.95, "1 hour")
+    return found.withColumn("quantile", F.round("quantile", 6))
 
 
 @query
 def error_rate(spark, sf):
-    return plain_times(metrics.error_rate(timed_events(spark, sf), F.col("event_type") == "error", "10 minutes", 600))
+    return metrics.error_rate(table(spark, sf, "events"), F.col("event_type") == "error", "10 minutes", 600)
 
 
 @query
 def total_count(spark, sf):
-    return metrics.total_count(timed_events(spark, sf))
+    return metrics.total_count(table(spark, sf, "events"))
 
 
 @query
 def increase_5m(spark, sf):
-    return plain_times(metrics.increase(timed_events(spark, sf)))
+    return metrics.increase(table(spark, sf, "events"))
 
 
 @query
 def rate_limit_violations(spark, sf):
     """Users with more than five events in a day."""
-    return plain_times(metrics.rate_limit_violations(timed_events(spark, sf), "user_id", window="1 day"))
+    return metrics.rate_limit_violations(table(spark, sf, "events"), "user_id", window="1 day")
