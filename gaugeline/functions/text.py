@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -74,10 +76,39 @@ def paragraphs(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Lower-cased words; a word beyond the length limit is cut into several."""
-    found = F.regexp_extract_all(F.lower(text), F.lit(fv.WORD_PATTERN), F.lit(0))
-    cut = F.flatten(F.transform(found, lambda w: slices(w, fv.MAX_WORD_CHARS)))
-    needs_cut = F.exists(found, lambda w: F.length(w) > fv.MAX_WORD_CHARS)
-    return F.when(needs_cut, cut).otherwise(found)
+    return F.regexp_extract_all(F.lower(text), F.lit(fv.WORD_PATTERN), F.lit(0))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once.
+
+    A function passed to ``transform`` or ``filter`` computes the columns it
+    refers to again for every element; what it gets as its argument is computed
+    already.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def counted(items: Column) -> Column:
+    """Distinct items of an array with their counts, as structs (word, tf).
+
+    The array is sorted, and each item's count is the distance between the
+    places where it and its successor begin; nothing leaves the row.
+    """
+
+    def count_sorted(ordered: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(1), F.size(ordered)),
+            lambda i: (i == 1) | (F.get(ordered, i - 1) != F.get(ordered, i - 2)))
+
+        def count_from(starts: Column) -> Column:
+            return F.transform(starts, lambda start, n: F.struct(
+                F.get(ordered, start - 1).alias("word"),
+                (F.coalesce(F.get(starts, n + 1), F.size(ordered) + 1) - start).alias("tf")))
+
+        return let(starts, count_from)
+
+    return F.when(F.size(items) > 0, let(F.sort_array(items), count_sorted))
 
 
 def thousands(value: Column) -> Column:

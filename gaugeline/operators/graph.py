@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from gaugeline import fixed_values as fv
 from gaugeline.functions.text import or_empty, split_and_strip
@@ -235,10 +236,17 @@ def indicator_rows(
     rows = materialize(rows, "indicator-rows")
     documents = matching_documents(
         nodes, edges, rows.filter(F.col("c").isNotNull()).select("i_name", "cat", "c").distinct(), cap)
-    no_category = F.coalesce("cat", F.lit("")).alias("_cat")
-    documents = documents.select("i_name", "c", no_category, F.col("doc").alias("d"))
+    documents = materialize(documents.select(
+        "i_name", "c", F.coalesce("cat", F.lit("")).alias("_cat"), F.col("doc").alias("d")), "row-documents")
+    on = ["i_name", "c", "_cat"]
     rows = rows.withColumn("_cat", F.coalesce("cat", F.lit("")))
-    rows = rows.join(documents, ["i_name", "c", "_cat"], "left")
+    # A row becomes as many rows as it has documents; rows that start beyond
+    # the cap are left out before the documents are joined.
+    fan_out = documents.groupBy(*on).agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("i").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(fan_out, on, "left").withColumn(
+        "_before", F.coalesce(F.sum(F.coalesce("_n", F.lit(1))).over(earlier), F.lit(0)))
+    rows = rows.filter(F.col("_before") < cap).join(documents, on, "left")
     return top_rows(rows, ["i"], [F.col(c) for c in [*order, "d"]], cap, "row_no").select(
         "i", "cat", "c", "src", "col", "up", "d", "row_no")
 

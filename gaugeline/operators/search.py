@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline import fixed_values as fv
-from gaugeline.functions.text import words
+from gaugeline.functions.text import counted, words
 from gaugeline.operators.scale import is_small, spread_join, top_rows
 from gaugeline.session import materialize
 
@@ -44,45 +44,66 @@ def query_words(queries: DataFrame, fields: list[tuple[str, float, str]]) -> Dat
     return result.groupBy("query_id", "field", "word").agg(F.count("*").alias("n"))
 
 
-def field_words(corpus: DataFrame, id_col: str, fields: list[tuple[str, float, str]]) -> DataFrame:
-    """(id, field, words) of every row and non-empty field, in one scan of the corpus."""
-    per_field = [
-        F.struct(
-            F.lit(name).alias("field"),
-            (words(F.col(name)) if kind == "text"
-             else F.when(F.length(name) > 0, F.array(name))).alias("words"),
-        )
-        for name, _, kind in fields
-    ]
-    rows = corpus.select(F.col(id_col).alias("id"), F.explode(F.array(*per_field)).alias("f"))
-    return rows.select("id", "f.field", "f.words").filter(F.size("words") > 0)
-
-
-def vocabulary(rows: DataFrame) -> DataFrame:
-    """(field, word, df, total_len) of all words, plus one ALL_ROWS entry per field."""
-    counted = rows.select(
-        "field",
-        F.size("words").alias("len"),
-        F.explode(F.array_append(F.array_distinct("words"), F.lit(ALL_ROWS))).alias("word"),
-    )
-    return counted.groupBy("field", "word").agg(
-        F.count("*").alias("df"), F.sum("len").alias("total_len"))
+def index_words(corpus: DataFrame, id_col: str, fields: list[tuple[str, float, str]]) -> DataFrame:
+    """(id, field, len, counts) of every row and non-empty field.
+
+    ``counts`` holds each word of the field once, with its frequency. One scan,
+    no shuffle; store the result to search the same corpus many times.
+    """
+    per_field = []
+    for name, _, kind in fields:
+        if kind == "text":
+            found = words(F.col(name))
+        else:
+            found = F.when(F.length(name) > 0, F.array(name))
+        per_field.append(F.struct(F.lit(name).alias("field"), found.alias("words")))
+    if len(per_field) == 1:
+        rows = corpus.select(F.col(id_col).alias("id"), per_field[0].alias("f"))
+    else:
+        rows = corpus.select(F.col(id_col).alias("id"), F.explode(F.array(*per_field)).alias("f"))
+    return rows.select("id", "f.field", "f.words").filter(F.size("words") > 0).select(
+        "id", "field", F.size("words").alias("len"), counted(F.col("words")).alias("counts"))
 
 
-def without_one(word: Column) -> Column:
-    """All strings left after deleting one character."""
-    return F.transform(
-        F.sequence(F.lit(1), F.length(word)),
-        lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.length(word))),
-    )
+def postings(index: DataFrame) -> DataFrame:
+    """The index as one row per word: (id, field, len, word, tf)."""
+    return index.select("id", "field", "len", F.inline("counts"))
+
+
+def vocabulary(index: DataFrame, keep: DataFrame | None = None) -> DataFrame:
+    """(field, word, df, total_len) of all words, plus one ALL_ROWS entry per field.
 
+    ``keep`` limits it to the words of a table (field, word).
+    """
+    counted_once = F.array_append(F.transform("counts", lambda c: c["word"]), F.lit(ALL_ROWS))
+    rows = index.select("field", "len", F.explode(counted_once).alias("word"))
+    if keep is not None:
+        rows = rows.join(keep, ["field", "word"], "left_semi")
+    return rows.groupBy("field", "word").agg(F.count("*").alias("df"), F.sum("len").alias("total_len"))
+
+
+def deletion_keys(word: Column, edits: Column) -> Column:
+    """Hashes of the word and of every string left after deleting up to ``edits`` characters."""
+    end = F.length(word) + 1
+    none = F.array().cast("array<bigint>")
+
+    def piece(start: Column, stop: Column) -> Column:
+        return F.substring(word, start, stop - start)
 
-def deletions(word: Column, edits: Column) -> Column:
-    """The word and every string left after deleting up to ``edits`` characters."""
-    one = F.when(edits >= 1, without_one(word)).otherwise(F.array().cast("array<string>"))
-    two = F.when(edits >= 2, F.flatten(F.transform(without_one(word), without_one))).otherwise(
-        F.array().cast("array<string>"))
-    return F.array_distinct(F.concat(F.array(word), one, two))
+    def without(i: Column) -> Column:
+        return F.xxhash64(F.concat(piece(F.lit(1), i), piece(i + 1, end)))
+
+    def without_pairs(i: Column) -> Column:
+        head = piece(F.lit(1), i)
+        return F.transform(
+            F.sequence(i + 1, end - 1),
+            lambda j: F.xxhash64(F.concat(head, piece(i + 1, j), piece(j + 1, end))))
+
+    one = F.when(edits >= 1, F.transform(F.sequence(F.lit(1), end - 1), without)).otherwise(none)
+    two = F.when(
+        (edits >= 2) & (end > 2),
+        F.flatten(F.transform(F.sequence(F.lit(1), end - 2), without_pairs))).otherwise(none)
+    return F.concat(F.array(F.xxhash64(word)), one, two)
 
 
 def swapped(word: Column) -> Column:
@@ -101,18 +122,24 @@ def swapped(word: Column) -> Column:
 def edit_distance(a: Column, b: Column) -> Column:
     """Edits between two words up to 2, a swap of neighbours counting as one; else null.
 
-    With a swap as one of two edits, the other edit may come before or after
-    it, so the swap is tried on either word.
+    ``levenshtein`` counts a swap as two, so its value tells which combinations
+    are possible: 2 may be one swap; 3 may be a swap and another edit (which may
+    come before or after it, so the swap is tried on either word); two swaps
+    give 3 or 4.
     """
-    plain = F.levenshtein(a, b)
-    one_swap = F.array_min(F.concat(
-        F.transform(swapped(a), lambda s: F.levenshtein(s, b)),
-        F.transform(swapped(b), lambda s: F.levenshtein(s, a)))) + 1
+    plain = F.levenshtein(a, b, 4)
+    longer = F.length(a) - F.length(b)
+
+    def near(word: Column, other: Column) -> Column:
+        return F.exists(swapped(word), lambda s: F.levenshtein(s, other, 1) >= 0)
+
+    is_swap = (longer == 0) & F.exists(swapped(a), lambda s: s == b)
     two_swaps = F.exists(F.flatten(F.transform(swapped(a), swapped)), lambda s: s == b)
     return (
-        F.when(plain <= 1, plain)
-        .when(one_swap <= 1, one_swap)
-        .when((plain == 2) | (one_swap == 2) | two_swaps, 2)
+        F.when(plain.between(0, 1), plain)
+        .when(plain == 2, F.when(is_swap, 1).otherwise(2))
+        .when((plain == 3) & longer.between(-1, 1) & (near(a, b) | near(b, a)), 2)
+        .when((plain >= 3) & (longer == 0) & two_swaps, 2)
     )
 
 
@@ -139,9 +166,9 @@ def match_words(asked: DataFrame, known: DataFrame) -> DataFrame:
     # words may reach a word of this length.
     edits = F.when(F.col("len") <= 1, 0).when(F.col("len") <= 5, 1).otherwise(2)
     known_keys = near.select(
-        "field", "known_word", F.explode(deletions(F.col("known_word"), edits)).alias("key"))
+        "field", "known_word", F.explode(deletion_keys(F.col("known_word"), edits)).alias("key"))
     asked_keys = matchable.select(
-        "field", "word", "edits", F.explode(deletions(F.col("word"), F.col("edits"))).alias("key"))
+        "field", "word", "edits", F.explode(deletion_keys(F.col("word"), F.col("edits"))).alias("key"))
     pairs = known_keys.join(asked_keys, ["field", "key"]).select(
         "field", "word", "edits", "known_word").distinct()
     distance = F.when(F.col("word") == F.col("known_word"), 0).otherwise(
@@ -184,25 +211,19 @@ def word_weights(
     )
 
 
-def score_rows(rows: DataFrame, weights: DataFrame, k: int) -> DataFrame:
+def score_rows(index: DataFrame, weights: DataFrame, k: int) -> DataFrame:
     """The ``k`` best rows of every query as (query_id, id, score, rank).
 
-    Words are moved once, by row id, after all words outside the queries are
-    gone. Counting and scoring then happen inside those partitions, and only
-    ``k`` rows per query leave each of them.
+    Words are counted within their row and those outside the queries dropped
+    before the rest are moved, once, by row id. Scoring then happens inside
+    those partitions, and only ``k`` rows per query leave each of them.
     """
     weights = materialize(weights, "word-weights")
     used = weights.select("field", "word").distinct()
     small = is_small(weights)
     if small:
         used, weights = F.broadcast(used), F.broadcast(weights)
-    found = (
-        rows.select("id", "field", F.size("words").alias("len"), F.explode("words").alias("word"))
-        .join(used, ["field", "word"], "left_semi")
-        .repartition("id")
-        .groupBy("id", "field", "len", "word")
-        .agg(F.count("*").alias("tf"))
-    )
+    found = postings(index).join(used, ["field", "word"], "left_semi").repartition("id")
     if small:
         scored = found.join(weights, ["field", "word"])
     else:
@@ -216,33 +237,38 @@ def score_rows(rows: DataFrame, weights: DataFrame, k: int) -> DataFrame:
     )
 
 
-def search(
-    corpus: DataFrame,
+def search_index(
+    index: DataFrame,
     queries: DataFrame,
-    id_col: str = "indicator_code",
     fields: list[tuple[str, float, str]] | None = None,
     k: int = fv.LEXICAL_SIZE,
     fuzzy: bool = True,
 ) -> DataFrame:
-    """Best rows of ``corpus`` for every query of (query_id, query).
+    """Best rows of a word index for every query of (query_id, query).
 
     Ties are broken by id. Returns (query_id, id, score, rank), rank from 1.
     """
     fields = fields if fields is not None else fv.SEARCH_FIELDS
-    rows = field_words(corpus, id_col, fields)
-    asked = query_words(queries, fields)
-    counted = vocabulary(rows)
-    if not fuzzy:
-        keep = asked.select("field", "word").unionByName(
-            asked.select("field", F.lit(ALL_ROWS).alias("word"))).distinct()
-        counted = counted.join(keep, ["field", "word"], "left_semi")
-    known = materialize(counted, "vocabulary")
-    matches = match_words(asked, known.filter(F.col("word") != ALL_ROWS)) if fuzzy else exact_words(asked, known)
-    return score_rows(rows, word_weights(asked, matches, known, fields), k)
-
-
-def postings(corpus: DataFrame, id_col: str, fields: list[tuple[str, float, str]]) -> DataFrame:
-    """Stored form of the words of a corpus: (field, word, id, tf, len)."""
-    rows = field_words(corpus, id_col, fields)
-    return rows.select("id", "field", F.size("words").alias("len"), F.explode("words").alias("word")).groupBy(
-        "field", "word", "id", "len").agg(F.count("*").alias("tf"))
+    asked = materialize(query_words(queries, fields), "query-words")
+    if fuzzy:
+        known = materialize(vocabulary(index), "vocabulary")
+        matches = match_words(asked, known.filter(F.col("word") != ALL_ROWS))
+    else:
+        words_asked = asked.select("field", "word").distinct()
+        every_row = words_asked.select("field", F.lit(ALL_ROWS).alias("word")).distinct()
+        known = materialize(vocabulary(index, words_asked.unionByName(every_row)), "vocabulary")
+        matches = exact_words(asked, known)
+    return score_rows(index, word_weights(asked, matches, known, fields), k)
+
+
+def search(
+    corpus: DataFrame,
+    queries: DataFrame,
+    id_col: str = "indicator_code",
+    fields: list[tuple[str, float, str]] | None = None,
+    k: int = fv.LEXICAL_SIZE,
+    fuzzy: bool = True,
+) -> DataFrame:
+    """``search_index`` over a corpus that has no stored index."""
+    fields = fields if fields is not None else fv.SEARCH_FIELDS
+    return search_index(index_words(corpus, id_col, fields), queries, fields, k, fuzzy)

@@ -432,12 +432,10 @@ def chunk_documents(spark, sf):
 
 @query
 def chunk_paragraphs(spark, sf):
-    """Chunks of whole conversations: turns are paragraphs, in windows of 600 with 80 carried."""
-    turns = table(spark, sf, "conversations")
-    # A conversation has a handful of turns; its text is one row by nature.
-    told = F.array_sort(F.collect_list(F.struct("turn", "text")))
-    talks = turns.groupBy("conv_id").agg(F.array_join(F.transform(told, lambda t: t["text"]), "\n \n").alias("text"))
-    return chunking.chunk_documents(talks, "conv_id", "text", size=600, overlap=80)
+    """Chunks of documents whose lines are set apart as paragraphs, of 600 characters with 80 carried."""
+    spaced = F.replace("text", F.lit("\n"), F.lit("\n \n"))
+    docs = table(spark, sf, "documents").select("doc_id", spaced.alias("text"))
+    return chunking.chunk_documents(docs, size=600, overlap=80)
 
 
 @query
@@ -526,8 +524,8 @@ def search_all(spark, sf):
 @query
 def fuzzy_terms(spark, sf):
     """Words of the documents that a word of a benchmark text may stand for."""
-    rows = search.field_words(table(spark, sf, "documents"), "doc_id", DOCUMENT_FIELDS)
-    known = rows.select("field", F.explode("words").alias("word")).distinct()
+    index = search.index_words(table(spark, sf, "documents"), "doc_id", DOCUMENT_FIELDS)
+    known = materialize(search.vocabulary(index), "vocabulary").filter(F.col("word") != search.ALL_ROWS)
     queries = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
     matches = search.match_words(search.query_words(queries, DOCUMENT_FIELDS), known)
     return matches.select("word", "known_word", F.col("distance").cast("long").alias("distance"))
@@ -535,8 +533,10 @@ def fuzzy_terms(spark, sf):
 
 @query
 def search_postings(spark, sf):
-    rows = search.postings(adapt.part_seed(spark, sf), "indicator_code", fv.SEARCH_FIELDS)
-    return longs(rows, "len")
+    """Stored word index of the parts, read back as one row per word."""
+    path = new_table_path(spark, "index")
+    sinks.write_dataset(search.index_words(adapt.part_seed(spark, sf), "indicator_code", fv.SEARCH_FIELDS), path)
+    return longs(search.postings(tables.read_dataset(spark, path)), "len", "tf")
 
 
 @query

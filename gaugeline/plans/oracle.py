@@ -368,9 +368,9 @@ def chunk_ctes(source: str, key: str, size: int, overlap: int) -> list[str]:
 
 DOC_CHUNKS = chunk_ctes("documents", "doc_id", fv.CHUNK_SIZE, fv.CHUNK_OVERLAP)
 sql("chunk_documents", "SELECT chunk_id, chunk_index, text, doc_id FROM chunks", *DOC_CHUNKS)
-sql("chunk_paragraphs", "SELECT chunk_id, chunk_index, text, conv_id FROM chunks", """talks AS (
-  SELECT conv_id, string_agg(text, chr(10) || ' ' || chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id)""",
-    *chunk_ctes("talks", "conv_id", 600, 80))
+sql("chunk_paragraphs", "SELECT chunk_id, chunk_index, text, doc_id FROM chunks",
+    "spaced AS (SELECT doc_id, replace(text, chr(10), chr(10) || ' ' || chr(10)) AS text FROM documents)",
+    *chunk_ctes("spaced", "doc_id", 600, 80))
 sql("chunk_stats", """
 SELECT count(*) AS n_chunks, count(DISTINCT chunk_id) AS n_ids, count(DISTINCT doc_id) AS n_docs,
        min(length(text)) AS min_chars, avg(length(text)) AS mean_chars, max(length(text)) AS max_chars FROM chunks""", *DOC_CHUNKS)
@@ -410,7 +410,7 @@ def single_bytes(expr: str) -> str:
 
 
 def tokens(expr: str) -> str:
-    return f"regexp_extract_all(lower({expr}), '{fv.WORD_PATTERN}')"
+    return f"regexp_extract_all(lower({expr}), '[\\p{{L}}\\p{{M}}\\p{{N}}]+')"
 
 
 def corpus_words(source: str, key: str, fields) -> str:
