@@ -100,12 +100,17 @@ def chunk_documents(
     )
 
 
-def chunk_statistics(chunks: DataFrame) -> DataFrame:
-    """Count, distinct ids and lengths over all chunks."""
+def chunk_statistics(chunks: DataFrame, approximate: bool = False) -> DataFrame:
+    """Count, distinct ids and lengths over all chunks.
+
+    Exact distinct counts shuffle every id; ``approximate=True`` keeps a sketch
+    instead.
+    """
+    distinct = F.approx_count_distinct if approximate else F.countDistinct
     return chunks.agg(
         F.count("*").alias("n_chunks"),
-        F.countDistinct("chunk_id").alias("n_ids"),
-        F.countDistinct("doc_id").alias("n_docs"),
+        distinct("chunk_id").alias("n_ids"),
+        distinct("doc_id").alias("n_docs"),
         F.min(F.length("text")).alias("min_chars"),
         F.avg(F.length("text")).alias("mean_chars"),
         F.max(F.length("text")).alias("max_chars"),

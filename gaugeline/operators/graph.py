@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from gaugeline import fixed_values as fv
-from gaugeline.functions.text import or_empty, split_and_strip
+from gaugeline.functions.text import let, or_empty, split_and_strip
 from gaugeline.operators.scale import top_rows
 from gaugeline.session import materialize
 from gaugeline.sources.sinks import upsert
@@ -165,17 +165,18 @@ def containing(texts: DataFrame, text: str, terms: DataFrame, term: str) -> Data
     """
     keyed = terms.select(term).filter(F.length(term) > 0).distinct().withColumn(
         "_gram", F.left(term, F.lit(GRAM)))
-    def grams(width: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length(text) - (width - 1))
-        found = F.transform(starts, lambda i: F.substring(text, i, F.lit(width)))
-        return F.when(F.length(text) >= width, found).otherwise(F.array().cast("array<string>"))
+    def grams(chars: Column, width: int) -> Column:
+        starts = F.sequence(F.lit(1), F.size(chars) - (width - 1))
+        found = F.transform(starts, lambda i: F.array_join(F.slice(chars, i, width), ""))
+        return F.when(F.size(chars) >= width, found).otherwise(F.array().cast("array<string>"))
 
     # Terms of fewer characters than GRAM are rare; their widths are only
     # unfolded when there are any.
     widths = {row["w"] for row in keyed.select(F.length("_gram").alias("w")).distinct().collect()}
     unfolded = F.array().cast("array<string>")
     if widths:
-        unfolded = F.array_distinct(F.concat(*[grams(w) for w in sorted(widths)]))
+        unfolded = F.array_distinct(let(
+            F.split(text, ""), lambda chars: F.concat(*[grams(chars, w) for w in sorted(widths)])))
     return (
         texts.withColumn("_gram", F.explode(unfolded))
         .join(keyed, "_gram")

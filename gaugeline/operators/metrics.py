@@ -44,8 +44,16 @@ def total_count(events: DataFrame, key: str = "event_type") -> DataFrame:
 
 
 def increase(events: DataFrame, key: str = "event_type", window: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
-    """Events by key in every sliding window."""
-    return flat(events.groupBy(F.window("ts", window, slide), key).agg(F.count("*").alias("n_events")))
+    """Events by key in every sliding window; the window is a multiple of the slide.
+
+    In batch, events are counted by slide first, and the few counts rather than
+    the events are repeated for the windows that overlap.
+    """
+    if events.isStreaming:
+        return flat(events.groupBy(F.window("ts", window, slide), key).agg(F.count("*").alias("n_events")))
+    by_slide = events.groupBy(F.window("ts", slide).alias("_slide"), key).agg(F.count("*").alias("_n"))
+    return flat(by_slide.groupBy(F.window("_slide.start", window, slide), key).agg(
+        F.sum("_n").alias("n_events")))
 
 
 def rate_limit_violations(

@@ -211,19 +211,22 @@ def word_weights(
     )
 
 
-def score_rows(index: DataFrame, weights: DataFrame, k: int) -> DataFrame:
+def score_rows(index: DataFrame, weights: DataFrame, k: int, by_id: bool = False) -> DataFrame:
     """The ``k`` best rows of every query as (query_id, id, score, rank).
 
-    Words are counted within their row and those outside the queries dropped
-    before the rest are moved, once, by row id. Scoring then happens inside
-    those partitions, and only ``k`` rows per query leave each of them.
+    The words of a row are already counted, and those outside the queries are
+    dropped, before the rest is moved, once, by row id. Scoring then happens
+    inside those partitions, and only ``k`` rows per query leave each of them.
+    An index stored in buckets by id (``by_id``) is not moved at all.
     """
     weights = materialize(weights, "word-weights")
     used = weights.select("field", "word").distinct()
     small = is_small(weights)
     if small:
         used, weights = F.broadcast(used), F.broadcast(weights)
-    found = postings(index).join(used, ["field", "word"], "left_semi").repartition("id")
+    found = postings(index).join(used, ["field", "word"], "left_semi")
+    if not by_id:
+        found = found.repartition("id")
     if small:
         scored = found.join(weights, ["field", "word"])
     else:
@@ -243,6 +246,7 @@ def search_index(
     fields: list[tuple[str, float, str]] | None = None,
     k: int = fv.LEXICAL_SIZE,
     fuzzy: bool = True,
+    by_id: bool = False,
 ) -> DataFrame:
     """Best rows of a word index for every query of (query_id, query).
 
@@ -258,7 +262,7 @@ def search_index(
         every_row = words_asked.select("field", F.lit(ALL_ROWS).alias("word")).distinct()
         known = materialize(vocabulary(index, words_asked.unionByName(every_row)), "vocabulary")
         matches = exact_words(asked, known)
-    return score_rows(index, word_weights(asked, matches, known, fields), k)
+    return score_rows(index, word_weights(asked, matches, known, fields), k, by_id)
 
 
 def search(
@@ -269,6 +273,16 @@ def search(
     k: int = fv.LEXICAL_SIZE,
     fuzzy: bool = True,
 ) -> DataFrame:
-    """``search_index`` over a corpus that has no stored index."""
+    """``search_index`` over a corpus whose words are indexed for this search.
+
+    The index is read twice, so it is stored rather than computed again.
+    """
     fields = fields if fields is not None else fv.SEARCH_FIELDS
-    return search_index(index_words(corpus, id_col, fields), queries, fields, k, fuzzy)
+    index = materialize(index_words(corpus, id_col, fields), "index")
+    return search_index(index, queries, fields, k, fuzzy)
+
+
+def store_index(index: DataFrame, table: str, buckets: int) -> DataFrame:
+    """Store an index as a table in buckets by id, for many searches without a shuffle."""
+    index.write.mode("overwrite").bucketBy(buckets, "id").sortBy("id").saveAsTable(table)
+    return index.sparkSession.table(table)

@@ -160,18 +160,24 @@ def page(df: DataFrame, order: list, page_no: int, page_size: int) -> DataFrame:
 def source_conflicts(observations: DataFrame, tolerance: float = 0.05) -> DataFrame:
     """Values of one indicator, country and year that differ between sources.
 
-    ``observations`` has one row per key and source_system. The difference is
-    relative to the larger magnitude of the two values. Keys with fewer than
-    two sources are dropped before pairs are formed, and a key has at most one
-    row per source system, so pairs stay few.
+    The difference is relative to the larger magnitude of the two values. A
+    source system has one value per key; should it have several, the largest
+    counts, so that a key has no more values than there are sources. Keys are
+    grouped once, and pairs are formed within the row of a key.
     """
     keys = ["country_code", "indicator_code", "year"]
-    a = observations.select(*keys, F.col("source_system").alias("source_a"), F.col("value").alias("value_a"))
-    b = observations.select(*keys, F.col("source_system").alias("source_b"), F.col("value").alias("value_b"))
+    one_each = observations.groupBy(*keys, "source_system").agg(F.max("value").alias("value"))
+    listed = one_each.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("source_system", "value"))).alias("found"))
+    several = listed.filter(F.size("found") > 1).select(
+        *keys, "found", F.posexplode("found").alias("_n", "a"))
+    later = F.slice("found", F.col("_n") + 2, F.size("found"))
     larger = F.greatest(F.abs("value_a"), F.abs("value_b"))
     return (
-        a.join(b, keys)
-        .filter(F.col("source_a") < F.col("source_b"))
+        several.select(*keys, "a", F.explode(later).alias("b"))
+        .select(
+            *keys, F.col("a.source_system").alias("source_a"), F.col("a.value").alias("value_a"),
+            F.col("b.source_system").alias("source_b"), F.col("b.value").alias("value_b"))
         .withColumn("difference", F.try_divide(F.abs(F.col("value_a") - F.col("value_b")), larger))
         .filter(F.col("difference") > tolerance)
     )

@@ -16,6 +16,7 @@ from gaugeline.operators import graph as g
 from gaugeline.operators.gold import Gold
 from gaugeline.plans.medallion import build_star
 from gaugeline.session import materialize
+from gaugeline.sources.tables import spread_scan
 
 _built: dict[tuple[str, str, str], object] = {}
 
@@ -32,6 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, spread over all cores."""
+    return spread_scan(table(spark, sf_dir, "documents"), "doc_id")
+
+
 # --- Observations from orders ----------------------------------------------
 
 
@@ -164,7 +170,7 @@ TOPICS = ["economy", "small", "medium", "promo", "standard", "large"]
 
 def catalogue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a title, two topics and two countries each."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), "p_name")
     topics = F.array(*[F.lit(t) for t in TOPICS])
     number = F.col("doc_id")

@@ -413,7 +413,7 @@ def search_result_cap(spark, sf):
 @query
 def doc_clean(spark, sf):
     cleaned = text.collapse_whitespace(F.col("text"))
-    return table(spark, sf, "documents").select(
+    return adapt.documents(spark, sf).select(
         "doc_id", cleaned.alias("cleaned"), F.length(cleaned).cast("long").alias("n_chars"))
 
 
@@ -427,20 +427,20 @@ def text_url_rewrite(spark, sf):
 
 @query
 def chunk_documents(spark, sf):
-    return chunking.chunk_documents(table(spark, sf, "documents").select("doc_id", "text"))
+    return chunking.chunk_documents(adapt.documents(spark, sf).select("doc_id", "text"))
 
 
 @query
 def chunk_paragraphs(spark, sf):
     """Chunks of documents whose lines are set apart as paragraphs, of 600 characters with 80 carried."""
     spaced = F.replace("text", F.lit("\n"), F.lit("\n \n"))
-    docs = table(spark, sf, "documents").select("doc_id", spaced.alias("text"))
+    docs = adapt.documents(spark, sf).select("doc_id", spaced.alias("text"))
     return chunking.chunk_documents(docs, size=600, overlap=80)
 
 
 @query
 def chunk_stats(spark, sf):
-    chunks = chunking.chunk_documents(table(spark, sf, "documents").select("doc_id", "text"))
+    chunks = chunking.chunk_documents(adapt.documents(spark, sf).select("doc_id", "text"))
     return longs(chunking.chunk_statistics(chunks), "min_chars", "max_chars")
 
 
@@ -454,7 +454,7 @@ def text_coverage(spark, sf):
 
 @query
 def sentence_split(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = adapt.documents(spark, sf)
     return docs.select("doc_id", F.posexplode(text.sentences(F.col("text"))).alias("n", "sentence")).withColumn(
         "n", F.col("n").cast("long"))
 
@@ -499,7 +499,7 @@ DOCUMENT_FIELDS = [("text", 1.0, "text")]
 def bm25_documents(spark, sf):
     """Ten best documents for every benchmark text."""
     queries = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
-    hits = search.search(table(spark, sf, "documents"), queries, "doc_id", DOCUMENT_FIELDS, k=10, fuzzy=False)
+    hits = search.search(adapt.documents(spark, sf), queries, "doc_id", DOCUMENT_FIELDS, k=10, fuzzy=False)
     return longs(hits, "rank")
 
 
@@ -524,7 +524,7 @@ def search_all(spark, sf):
 @query
 def fuzzy_terms(spark, sf):
     """Words of the documents that a word of a benchmark text may stand for."""
-    index = search.index_words(table(spark, sf, "documents"), "doc_id", DOCUMENT_FIELDS)
+    index = search.index_words(adapt.documents(spark, sf), "doc_id", DOCUMENT_FIELDS)
     known = materialize(search.vocabulary(index), "vocabulary").filter(F.col("word") != search.ALL_ROWS)
     queries = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
     matches = search.match_words(search.query_words(queries, DOCUMENT_FIELDS), known)
@@ -597,7 +597,7 @@ def embed_text_compose(spark, sf):
 @query
 def hashed_embed(spark, sf):
     """Hashed word vectors of all chunks (no SQL: the hash is Spark's)."""
-    chunks = chunking.chunk_documents(table(spark, sf, "documents").select("doc_id", "text"))
+    chunks = chunking.chunk_documents(adapt.documents(spark, sf).select("doc_id", "text"))
     embedded = vector.embed_hashed(chunks)
     return embedded.select("chunk_id", "doc_id", vectors.vector_literal(F.col("embedding")).alias("embedding"))
 

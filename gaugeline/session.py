@@ -65,8 +65,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_table_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/tables/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, in a subfolder of this application.
+
+    The subfolder can be removed once the application is done.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

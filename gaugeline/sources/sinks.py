@@ -18,15 +18,12 @@ from gaugeline.sources.tables import path_exists
 def write_by_year(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:
     """Replace the years present in ``df``, leaving other years as they are.
 
-    Rows are spread by year and a row hash before the write, so that a year
-    holding most rows is written by many tasks, and ``maxRecordsPerFile``
-    bounds each file.
+    Rows are brought together by year before the write. Adaptive execution
+    sizes the write tasks: small years share one, and a year that holds most of
+    the rows is split over many.
     """
-    others = [F.col(c) for c in df.columns if c != "year"]
-    spread = df.withColumn("_spread", F.pmod(F.xxhash64(*others), F.lit(64)))
     (
-        spread.repartition("year", "_spread")
-        .drop("_spread")
+        df.hint("rebalance", "year")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)

@@ -18,6 +18,17 @@ def read_dataset(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.parquet(path)
 
 
+def spread_scan(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on a scan that has fewer splits than there are cores.
+
+    For a large table, which has splits enough, this changes nothing. A small
+    one is spread by a hash of ``key`` before work that is heavy on the
+    processor.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header line, typed by ``schema``."""
     return spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
