@@ -15,7 +15,8 @@ from gaugeline.functions.text import (
 )
 from gaugeline.operators.gold import Gold
 from gaugeline.operators.scale import latest_rows, top_rows
-from gaugeline.operators.serving import latest_facts, named_facts
+from gaugeline.operators.serving import named_facts
+from gaugeline.session import materialize
 
 
 def read_questions(queries: DataFrame, word_boundary: bool = False) -> DataFrame:
@@ -153,16 +154,19 @@ def question_facts(ranked: DataFrame, questions: DataFrame, gold: Gold) -> DataF
     question names, else the latest year. All questions are answered by one
     join per kind of lookup.
     """
-    asked = (
+    asked = materialize(
         ranked.filter(F.col("type") == "Indicator")
         .select("query_id", F.col("rank").alias("node_rank"), F.col("id").alias("indicator_code"))
         .join(questions.select("query_id", "is_comparison", F.col("year").alias("asked_year"),
-                               F.posexplode("countries").alias("country_no", "country_code")), "query_id")
-    )
-    facts = named_facts(gold).select(
-        "country_code", "indicator_code", "country_name", "indicator_name", "unit", "year", "value")
-    latest = latest_facts(gold).select(*facts.columns)
+                               F.posexplode("countries").alias("country_no", "country_code")), "query_id"),
+        "asked-facts")
     key = ["country_code", "indicator_code"]
+    # Only the series asked for are read further, so the latest fact is looked
+    # for among those and not in the whole table.
+    series = named_facts(gold).join(asked.select(*key).distinct(), key, "left_semi")
+    facts = materialize(series.select(
+        *key, "country_name", "indicator_name", "unit", "year", "period_start", "value"), "asked-series")
+    latest = latest_rows(facts, key, [F.col("period_start").desc(), F.col("value").desc()])
     all_years = asked.filter("is_comparison").join(facts, key)
     one_year = asked.filter("not is_comparison and asked_year is not null").join(
         facts.withColumn("asked_year", F.col("year")), [*key, "asked_year"])

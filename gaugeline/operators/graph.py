@@ -1,7 +1,9 @@
 """Entity and lineage graph as two tables, and expansion from anchor nodes.
 
-``nodes`` has (type, id, properties) and ``edges`` (src_type, src, rel,
-dst_type, dst). Expansion follows a fixed chain of optional steps; its rows are
+``nodes`` has (type, id, name, topics, properties) and ``edges`` (src_type,
+src, rel, dst_type, dst). A document's name is its title. Name and topics stand
+beside the property map so that expansion does not read whole properties, and
+stored nodes are partitioned by type (``store_nodes``). Expansion follows a fixed chain of optional steps; its rows are
 ordered by the node ids along the chain, so the first n rows are well defined.
 """
 
@@ -14,7 +16,7 @@ from pyspark.sql.window import Window
 
 from gaugeline import fixed_values as fv
 from gaugeline.functions.text import let, or_empty, split_and_strip
-from gaugeline.operators.scale import top_rows
+from gaugeline.operators.scale import join_small, top_rows
 from gaugeline.session import materialize
 from gaugeline.sources.sinks import upsert
 
@@ -28,10 +30,20 @@ def node_id(code: Column, name: Column, doc_id: Column, other: Column) -> Column
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in (code, name, doc_id, other)])
 
 
+NODE_COLUMNS = ["type", "id", "name", "topics", "properties"]
+
+
 def _node(kind: str, key: Column, **properties: Column) -> list[Column]:
     entries = [x for name, value in properties.items() for x in (F.lit(name), value.cast("string"))]
-    return [F.lit(kind).alias("type"), key.cast("string").alias("id"),
-            F.create_map(*entries).alias("properties")]
+    name = properties.get("name", properties.get("title", F.lit(None)))
+    topics = properties.get("topics", F.lit(None))
+    return [F.lit(kind).alias("type"), key.cast("string").alias("id"), name.cast("string").alias("name"),
+            topics.cast("string").alias("topics"), F.create_map(*entries).alias("properties")]
+
+
+def store_nodes(nodes: DataFrame) -> DataFrame:
+    """Nodes as a table with one partition per type, so that a step reads its types only."""
+    return materialize(nodes.select(*NODE_COLUMNS), "nodes", ("type",))
 
 
 def _edge(src_type: str, src: Column, rel: str, dst_type: str, dst: Column) -> list[Column]:
@@ -178,8 +190,7 @@ def containing(texts: DataFrame, text: str, terms: DataFrame, term: str) -> Data
         unfolded = F.array_distinct(let(
             F.split(text, ""), lambda chars: F.concat(*[grams(chars, w) for w in sorted(widths)])))
     return (
-        texts.withColumn("_gram", F.explode(unfolded))
-        .join(keyed, "_gram")
+        join_small(texts.withColumn("_gram", F.explode(unfolded)), keyed, ["_gram"])
         .filter(F.contains(F.col(text), F.col(term)))
         .drop("_gram")
     )
@@ -197,8 +208,7 @@ def matching_documents(
     """
     about = step(edges, "ABOUT", "doc", "c")
     texts = nodes.filter(F.col("type") == "Document").select(
-        F.col("id").alias("doc"), F.col("properties")["title"].alias("title"),
-        F.col("properties")["topics"].alias("topics"))
+        F.col("id").alias("doc"), F.col("name").alias("title"), "topics")
     by_topic = containing(texts.select("doc", "topics"), "topics", wanted, "cat").join(about, "doc")
     by_topic = top_rows(by_topic, ["cat", "c"], [F.col("doc")], cap).select("cat", "c", "doc")
     by_title = containing(texts.select("doc", "title"), "title", wanted, "i_name").join(about, "doc")
@@ -221,7 +231,7 @@ def indicator_rows(
     the same rows as cutting once at the end.
     """
     names = nodes.filter(F.col("type") == "Indicator").select(
-        F.col("id").alias("i"), F.col("properties")["name"].alias("i_name"))
+        F.col("id").alias("i"), F.col("name").alias("i_name"))
     rows = indicators.select("i").distinct().join(names, "i")
     order: list[str] = []
 
@@ -305,6 +315,8 @@ def expand(
     seen = named.join(reached, ["anchor_type", "anchor"]).groupBy("query_id", "type", "id").agg(
         F.min(F.struct("anchor_rank", "place")).alias("first"))
     kept = top_rows(seen, ["query_id"], [F.col("first"), F.col("type"), F.col("id")], max_nodes, "place")
-    return kept.select("query_id", "place", "type", "id").join(
-        nodes.select("type", "id", "properties"), ["type", "id"]).select(
+    # Stored, so that the properties are fetched by a join that knows how few
+    # nodes it is for and does not move the node table.
+    kept = materialize(kept.select("query_id", "place", "type", "id"), "expanded")
+    return nodes.select("type", "id", "properties").join(kept, ["type", "id"]).select(
         "query_id", "place", "type", "id", "properties")

@@ -45,11 +45,10 @@ def join_small(
     """Join with a side that is expected, and checked, to be small.
 
     Within the bound the small side is broadcast and ``left`` is not moved.
-    Beyond it the join is an ordinary shuffle join, whose hot keys adaptive
-    execution splits.
+    Beyond it both sides are shuffled, and adaptive execution splits the hot
+    keys; the hint keeps Spark from broadcasting on a size it can only guess.
     """
-    if is_small(right, max_rows):
-        right = F.broadcast(right)
+    right = F.broadcast(right) if is_small(right, max_rows) else right.hint("merge")
     return left.join(right, on, how)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from gaugeline import fixed_values as fv
 from gaugeline.functions.text import counted, words
-from gaugeline.operators.scale import is_small, spread_join, top_rows
+from gaugeline.operators.scale import is_small, join_small, spread_join, top_rows
 from gaugeline.session import materialize
 
 # A word that no tokenizer produces; it carries the row count of a field.
@@ -169,7 +169,7 @@ def match_words(asked: DataFrame, known: DataFrame) -> DataFrame:
         "field", "known_word", F.explode(deletion_keys(F.col("known_word"), edits)).alias("key"))
     asked_keys = matchable.select(
         "field", "word", "edits", F.explode(deletion_keys(F.col("word"), F.col("edits"))).alias("key"))
-    pairs = known_keys.join(asked_keys, ["field", "key"]).select(
+    pairs = join_small(known_keys, asked_keys, ["field", "key"]).select(
         "field", "word", "edits", "known_word").distinct()
     distance = F.when(F.col("word") == F.col("known_word"), 0).otherwise(
         edit_distance(F.col("word"), F.col("known_word")))

@@ -671,8 +671,9 @@ def doc_country_edges(spark, sf):
 def graph_upsert(spark, sf):
     """Countries renamed and edges added; edges without both ends are left out."""
     nodes, edges = adapt.trade_graph(spark, sf)
-    renamed = nodes.filter(F.col("type") == "Country").withColumn(
-        "properties", F.create_map(F.lit("name"), F.concat(F.lit("The "), F.col("id"))))
+    new_name = F.concat(F.lit("The "), F.col("id"))
+    renamed = nodes.filter(F.col("type") == "Country").withColumns(
+        {"name": new_name, "properties": F.create_map(F.lit("name"), new_name)})
     merged = graph.upsert_nodes(nodes, renamed)
     extra = table(spark, sf, "supplier").select(
         F.lit("Country").alias("src_type"), F.concat(F.lit("NATION_"), F.col("s_nationkey").cast("string")).alias("src"),
@@ -680,7 +681,7 @@ def graph_upsert(spark, sf):
         F.concat(F.lit("P"), F.col("s_suppkey").cast("string")).alias("dst"))
     dangling = extra.withColumn("dst", F.concat(F.lit("Q"), "dst"))
     linked = graph.upsert_edges(edges, extra.unionByName(dangling), merged)
-    ends = merged.groupBy("type").agg(F.count("*").alias("n"), F.count_if(F.startswith(F.col("properties")["name"], F.lit("The "))).alias("n_renamed"))
+    ends = merged.groupBy("type").agg(F.count("*").alias("n"), F.count_if((F.col("type") == "Country") & F.startswith("name", F.lit("The "))).alias("n_renamed"))
     return ends.select(F.lit("node").alias("kind"), F.col("type").alias("label"), "n", "n_renamed").unionByName(
         linked.groupBy("rel").agg(F.count("*").alias("n")).select(
             F.lit("edge").alias("kind"), F.col("rel").alias("label"), "n", F.lit(0).cast("long").alias("n_renamed")))
