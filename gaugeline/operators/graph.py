@@ -106,6 +106,27 @@ def document_country_edges(documents: DataFrame, countries: DataFrame, sep: str
     return about.distinct().select(*_edge("Document", F.col("doc_id"), "ABOUT", "Country", F.col("country_code")))
 
 
+def _topics(documents: DataFrame, sep: str) -> DataFrame:
+    listed = documents.select("doc_id", F.explode(split_and_strip(or_empty(F.col("topics")), sep)).alias("topic"))
+    return listed.filter(F.col("topic") != "").distinct()
+
+
+def topic_nodes(documents: DataFrame, sep: str = ";") -> DataFrame:
+    topics = _topics(documents, sep).select("topic").distinct()
+    return topics.select(*_node("DocTopic", F.col("topic"), name=F.col("topic")))
+
+
+def topic_edges(documents: DataFrame, sep: str = ";") -> DataFrame:
+    """TAGGED edges from documents to the topics they list."""
+    return _topics(documents, sep).select(*_edge("Document", F.col("doc_id"), "TAGGED", "DocTopic", F.col("topic")))
+
+
+def dashboard_edges(uses: DataFrame) -> DataFrame:
+    """USES edges of dashboards to columns, from (dashboard, table_name, column_name)."""
+    fqn = F.concat_ws(".", "table_name", "column_name")
+    return uses.distinct().select(*_edge("Dashboard", F.col("dashboard"), "USES", "DataColumn", fqn))
+
+
 def lineage_tables(spark: SparkSession, tables: dict[str, T.StructType]) -> tuple[DataFrame, DataFrame]:
     """Table and column nodes with their CONTAINS edges, from table schemas."""
     rows = [(name, field.name) for name, schema in tables.items() for field in schema.fields]

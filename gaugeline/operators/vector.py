@@ -16,51 +16,64 @@ from gaugeline.operators.scale import top_rows
 
 # Queries shipped to the tasks at a time: 2,000 vectors of 3,072 doubles are 49 MB.
 QUERY_BLOCK = 2_000
+# Numbers computed at a time in one task: 8 million doubles are 64 MB.
+BLOCK_CELLS = 8_000_000
 # Similarities closer than this are a tie, broken by id.
 DECIMALS = 9
+# Stands for the similarity of a vector without direction; it ranks last.
+NO_DIRECTION = -2.0
 
 
-def _block_top(vectors: DataFrame, queries: list, k: int) -> DataFrame:
+def _block_top(vectors: DataFrame, queries: list, query_type: T.DataType, k: int) -> DataFrame:
     """Per partition, the ``k`` nearest rows to each of a few query vectors."""
     import numpy as np
 
+    schema = T.StructType([
+        T.StructField("query_id", query_type),
+        T.StructField("id", vectors.schema["id"].dataType),
+        T.StructField("similarity", T.DoubleType()),
+    ])
     if not queries:
-        return vectors.select("id").limit(0).select(
-            F.lit("").alias("query_id"), "id", F.lit(0.0).alias("similarity"))
-    names = [row["query_id"] for row in queries]
+        return vectors.sparkSession.createDataFrame([], schema)
+    names = np.array([row["query_id"] for row in queries])
     matrix = np.array([row["embedding"] for row in queries], dtype="float64")
     lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
     unit = np.divide(matrix, lengths, out=np.full_like(matrix, np.nan), where=lengths > 0)
-    decimals = DECIMALS
-    id_type = vectors.schema["id"].dataType
-    query_type = queries[0].asDict()["query_id"].__class__
-    schema = T.StructType([
-        T.StructField("query_id", T.StringType() if query_type is str else T.LongType()),
-        T.StructField("id", id_type),
-        T.StructField("similarity", T.DoubleType()),
-    ])
+    decimals, cells, no_direction = DECIMALS, BLOCK_CELLS, NO_DIRECTION
 
     def scan(batches: Iterator) -> Iterator:
         import numpy as np
         import pandas as pd
 
-        best = None
+        best = pd.DataFrame({"q": [], "id": [], "similarity": []})
+        least = np.full(len(names), -np.inf)  # similarity of the k-th best so far
         for batch in batches:
-            ids = batch["id"].to_numpy()
-            data = np.stack(batch["embedding"].to_numpy()).astype("float64")
-            norms = np.linalg.norm(data, axis=1, keepdims=True)
-            data = np.divide(data, norms, out=np.full_like(data, np.nan), where=norms > 0)
-            close = np.round(unit @ data.T, decimals)
-            parts = [] if best is None else [best]
-            for q, name in enumerate(names):
-                order = np.lexsort((ids, -np.nan_to_num(close[q], nan=-2.0)))[:k]
-                parts.append(pd.DataFrame(
-                    {"query_id": name, "id": ids[order], "similarity": close[q][order]}))
-            merged = pd.concat(parts, ignore_index=True)
-            merged = merged.sort_values(["query_id", "similarity", "id"], ascending=[True, False, True])
-            best = merged.groupby("query_id", sort=False).head(k)
-        if best is not None:
-            yield best
+            if not len(batch):
+                continue
+            rows_at_once = max(1, cells // max(len(names), unit.shape[1]))
+            for start in range(0, len(batch), rows_at_once):
+                part = batch.iloc[start:start + rows_at_once]
+                data = np.stack(part["embedding"].to_numpy()).astype("float64")
+                norms = np.linalg.norm(data, axis=1, keepdims=True)
+                data = np.divide(data, norms, out=np.full_like(data, np.nan), where=norms > 0)
+                close = np.nan_to_num(np.round(unit @ data.T, decimals), nan=no_direction)
+                # A row matters only if it is among the best so far and among
+                # the best of this part; equals stay, to be told apart by id.
+                bar = least
+                if close.shape[1] > k:
+                    bar = np.maximum(least, np.partition(close, -k, axis=1)[:, -k])
+                q, r = np.nonzero(close >= bar[:, None])
+                found = pd.DataFrame({"q": q, "id": part["id"].to_numpy()[r], "similarity": close[q, r]})
+                pool = found if best.empty else pd.concat([best, found], ignore_index=True)
+                pool = pool.sort_values(["q", "similarity", "id"], ascending=[True, False, True])
+                best = pool.groupby("q", sort=False).head(k)
+                full = best.groupby("q")["similarity"].agg(["size", "min"])
+                full = full[full["size"] == k]
+                least[full.index.to_numpy(dtype="int64")] = full["min"].to_numpy()
+        if not best.empty:
+            yield pd.DataFrame({
+                "query_id": names[best["q"].to_numpy(dtype="int64")], "id": best["id"].to_numpy(),
+                "similarity": best["similarity"].to_numpy()})
 
     return vectors.select("id", "embedding").mapInPandas(scan, schema)
 
@@ -88,7 +101,7 @@ def nearest(
         chosen = asked
         if blocks > 1:
             chosen = asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
-        part = _block_top(rows, chosen.collect(), k)
+        part = _block_top(rows, chosen.collect(), asked.schema["query_id"].dataType, k)
         result = part if result is None else result.unionByName(part)
     return top_rows(result, ["query_id"], [F.col("similarity").desc(), F.col("id")], k)
 
@@ -104,6 +117,13 @@ def chunk_text(title: Column, text: Column) -> Column:
     return F.concat(F.lit("Title: "), title, F.lit("\nContent: "), text)
 
 
+def embedding_rows(embedded: DataFrame, source_type: str, source_id: str, metadata: list[str]) -> DataFrame:
+    """Rows for the embeddings table from embedded texts, their columns kept as JSON."""
+    return embedded.select(
+        F.lit(source_type).alias("source_type"), F.col(source_id).cast("string").alias("source_id"), "text", "embedding",
+        F.to_json(F.struct(*metadata)).alias("metadata"), F.current_timestamp().alias("created_at"))
+
+
 def embed_with(
     df: DataFrame, embedder: Callable[[list[str]], list[list[float]]], text_col: str = "text",
     batch_size: int = fv.EMBED_BATCH,

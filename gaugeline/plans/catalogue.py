@@ -594,6 +594,20 @@ def embed_text_compose(spark, sf):
     return indicators.unionByName(documents)
 
 
+@query
+def embedding_store(spark, sf):
+    """Embedding rows of the parts, stored twice under the same keys."""
+    parts = adapt.part_seed(spark, sf)
+    texts = parts.withColumn("text", vector.indicator_text(
+        F.col("indicator_code"), F.col("indicator_name"), F.col("category"), F.col("description")))
+    columns = ["indicator_code", "indicator_name", "category", "description"]
+    rows = vector.embedding_rows(vector.embed_hashed(texts, dimension=32), "indicator", "indicator_code", columns)
+    path = new_table_path(spark, "embeddings")
+    for _ in range(2):
+        sinks.upsert_dataset(spark, path, rows, ["source_type", "source_id", "text"])
+    return tables.read_dataset(spark, path).select("source_type", "source_id", "text", "metadata")
+
+
 @query
 def hashed_embed(spark, sf):
     """Hashed word vectors of all chunks (no SQL: the hash is Spark's)."""
@@ -667,6 +681,13 @@ def doc_country_edges(spark, sf):
     return edges.select(F.col("src").alias("doc_id"), F.col("dst").alias("country_code"))
 
 
+@query
+def doc_topic_edges(spark, sf):
+    docs = adapt.catalogue_documents(spark, sf)
+    nodes = graph.topic_nodes(docs).select(F.lit("").alias("doc_id"), F.col("id").alias("topic"))
+    return graph.topic_edges(docs).select(F.col("src").alias("doc_id"), F.col("dst").alias("topic")).unionByName(nodes)
+
+
 @query
 def graph_upsert(spark, sf):
     """Countries renamed and edges added; edges without both ends are left out."""

@@ -38,6 +38,12 @@ def build_star(
     return silver, gold
 
 
+def register_views(tables: dict[str, DataFrame], prefix: str = "") -> None:
+    """Make tables available to SQL under their names."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(prefix + name)
+
+
 def run_batch(
     bronze: DataFrame,
     write: Callable[[DataFrame, str], None],

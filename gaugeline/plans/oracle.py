@@ -550,6 +550,13 @@ UNION ALL SELECT 'document', doc_id, 'Title: ' || title || chr(10) || 'Content:
     PART_SEED, CATALOGUE_DOCS)
 
 
+sql("embedding_store", """
+SELECT 'indicator' AS source_type, indicator_code AS source_id,
+       indicator_code || ' - ' || indicator_name || ' - Category: ' || category || ' - ' || description AS text,
+       CAST(json_object('indicator_code', indicator_code, 'indicator_name', indicator_name, 'category', category,
+                        'description', description) AS VARCHAR) AS metadata FROM part_seed""", PART_SEED)
+
+
 def fused(name: str = "fused") -> list[str]:
     return [
         SOURCE_VECTORS,
@@ -642,6 +649,9 @@ GRAPH = [*TRADE_GOLD, CATALOGUE_DOCS, DOC_COUNTRY, NODES, EDGES]
 sql("graph_nodes", "SELECT * FROM nodes", *GRAPH)
 sql("graph_edges", "SELECT * FROM edges", *GRAPH)
 sql("doc_country_edges", "SELECT doc_id, country_code FROM doc_country", *ORDER_GOLD, CATALOGUE_DOCS, DOC_COUNTRY)
+sql("doc_topic_edges", """
+SELECT DISTINCT doc_id, topic FROM (SELECT doc_id, unnest(string_split(topics, ';')) AS topic FROM docs)
+UNION ALL SELECT DISTINCT '', unnest(string_split(topics, ';')) FROM docs""", CATALOGUE_DOCS)
 sql("graph_upsert", """
 SELECT 'node' AS kind, type AS label, count(*) AS n, count(*) FILTER (WHERE type = 'Country') AS n_renamed
 FROM nodes GROUP BY type

@@ -146,6 +146,16 @@ def test_nearest_matches_brute_force(spark, monkeypatch, block):
         assert got[q] == sorted(range(200), key=lambda i: (-sims[i], i))[:6]
 
 
+def test_nearest_with_text_ids_and_small_parts(spark, monkeypatch):
+    monkeypatch.setattr(vector, "BLOCK_CELLS", 40)
+    rows = spark.createDataFrame(
+        [(f"r{i:02d}", [1.0, float(i % 7)]) for i in range(50)], "name string, embedding array<float>").repartition(3)
+    queries = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0])], "query_id string, embedding array<float>")
+    hits = vector.nearest(rows, queries, 4, id_col="name").orderBy("query_id", "rank").collect()
+    assert [r["id"] for r in hits if r["query_id"] == "a"] == ["r00", "r07", "r14", "r21"]
+    assert [r["id"] for r in hits if r["query_id"] == "b"] == ["r06", "r13", "r20", "r27"]
+
+
 def test_no_queries_no_hits(spark):
     rows = spark.createDataFrame([(1, [1.0, 0.0])], "vec_id long, embedding array<float>")
     queries = spark.createDataFrame([], "query_id long, embedding array<float>")
@@ -264,6 +274,14 @@ def test_containing_matches_brute_force(spark):
         (i, t) for i, x in texts for t in terms if t and t in x}
 
 
+def test_topics_and_dashboards(spark):
+    docs = spark.createDataFrame([("D1", "a; b;a"), ("D2", ""), ("D3", None)], "doc_id string, topics string")
+    assert {(r["src"], r["dst"]) for r in graph.topic_edges(docs).collect()} == {("D1", "a"), ("D1", "b")}
+    assert graph.topic_nodes(docs).count() == 2
+    uses = spark.createDataFrame([("board", "t", "c"), ("board", "t", "c")], "dashboard string, table_name string, column_name string")
+    assert [(r["rel"], r["dst"]) for r in graph.dashboard_edges(uses).collect()] == [("USES", "t.c")]
+
+
 def test_lineage(spark):
     tables = {"silver": spark.range(1).selectExpr("id code", "id value").schema,
               "gold": spark.range(1).selectExpr("id code", "id extra").schema,
