@@ -51,6 +51,11 @@ def _edge(src_type: str, src: Column, rel: str, dst_type: str, dst: Column) -> l
             F.lit(dst_type).alias("dst_type"), dst.cast("string").alias("dst")]
 
 
+def store_edges(edges: DataFrame) -> DataFrame:
+    """Edges as a table with one partition per relation."""
+    return materialize(edges.select(*EDGE_COLUMNS), "edges", ("rel",))
+
+
 def country_nodes(countries: DataFrame) -> DataFrame:
     return countries.select(*_node(
         "Country", F.col("country_code"), code=F.col("country_code"), name=F.col("country_name"),

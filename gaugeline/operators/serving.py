@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -132,7 +134,9 @@ def fact_value(
         (F.col("country_code") == country_code) & (F.col("indicator_code") == indicator_code)
     )
     if year is not None:
-        rows = rows.filter(F.col("year") == year)
+        # The same as asking for the year of period_start, but as a range the
+        # scan can use.
+        rows = rows.filter(F.col("period_start").between(dt.date(year, 1, 1), dt.date(year, 12, 31)))
     return rows.orderBy(F.col("period_start").desc(), F.col("value").desc()).limit(1)
 
 

@@ -263,7 +263,7 @@ def trade_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
             .unionByName(g.country_indicator_edges(gold.fact, gold.dim_countries, gold.dim_indicators))
             .unionByName(g.document_country_edges(docs, gold.dim_countries))
         )
-        return g.store_nodes(nodes), materialize(edges, "edges")
+        return g.store_nodes(nodes), g.store_edges(edges)
 
     return once(spark, sf_dir, "trade_graph", build)
 

@@ -68,6 +68,12 @@ def test_latest_row_of_a_hot_observation_key(spark):
     assert {r["indicator_code"]: r["value"] for r in out.collect()} == {k: v for k, (_, v) in last.items()}
 
 
+def test_one_country_reads_one_partition(spark):
+    df = QUERIES["indicators_by_country"](spark, SF)
+    fact_scan = [line for line in plan(df).splitlines() if "FileScan parquet" in line and "indicator_key" in line and "value" in line]
+    assert fact_scan and all("dynamicpruningexpression(country_key" in line for line in fact_scan)
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     _, gold = adapt.order_star(spark, SF)
     text = plan(QUERIES["indicators_by_country"](spark, SF))
