@@ -27,6 +27,7 @@ from gaugeline.plans import adapt, retrieval
 from gaugeline.plans.adapt import table
 from gaugeline.session import materialize, new_table_path
 from gaugeline.sources import landing, sinks, tables
+from gaugeline.streaming.events import read_event_stream, run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -905,3 +906,29 @@ def increase_5m(spark, sf):
 def rate_limit_violations(spark, sf):
     """Users with more than five events in a day."""
     return metrics.rate_limit_violations(table(spark, sf, "events"), "user_id", window="1 day")
+
+
+def streamed(spark, sf, name: str, metric: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A metric run as a stream over the events: the windows closed so far."""
+    base = new_table_path(spark, name)
+    stream = read_event_stream(spark, sf, watermark="10 minutes", glob="events.parquet")
+    run_available(stream, metric, f"{base}/out", f"{base}/checkpoint")
+    closed = tables.read_dataset(spark, f"{base}/out")
+    return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@query
+def stream_rate_per_minute(spark, sf):
+    return streamed(spark, sf, "stream-rate", metrics.rate)
+
+
+@query
+def stream_p95_window(spark, sf):
+    found = streamed(spark, sf, "stream-p95", lambda events: metrics.histogram_quantile(
+        events, "value", VALUE_BOUNDS, 0.95, "1 hour"))
+    return found.withColumn("quantile", F.round("quantile", 6))
+
+
+@query
+def stream_increase_5m(spark, sf):
+    return streamed(spark, sf, "stream-increase", metrics.increase)

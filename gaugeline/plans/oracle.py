@@ -900,3 +900,9 @@ FROM (
 GROUP BY ALL""", f"timed AS (SELECT {windowed('1 hour')}, value FROM events)",
     "bounds AS (SELECT * FROM (VALUES " + ", ".join(
         f"(CAST({lo} AS DOUBLE), CAST({hi} AS DOUBLE))" for lo, hi in zip([0, *BOUNDS[:-1]], BOUNDS)) + ") t(low, high))")
+
+# The streamed metrics give the windows that end before the last event less the watermark's delay.
+CLOSED = "WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'"
+for streamed, batch in (("stream_rate_per_minute", "rate_per_minute"), ("stream_p95_window", "p95_window"),
+                        ("stream_increase_5m", "increase_5m")):
+    ORACLE[streamed] = f"SELECT * FROM ({ORACLE[batch]}) {CLOSED}"
