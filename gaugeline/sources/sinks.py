@@ -115,10 +115,12 @@ def reconcile(source: DataFrame, target: DataFrame) -> DataFrame:
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
     """Rows of ``old`` and ``new``, a new row replacing the old one of its key.
 
-    ``order`` decides between several new rows of one key.
+    ``old`` has one row per key; ``order`` decides between several new rows of
+    one key. The old rows are only checked against the new keys: with few new
+    rows those are broadcast and the old table is neither moved nor sorted.
     """
-    stamped = old.withColumn("_newer", F.lit(0)).unionByName(new.withColumn("_newer", F.lit(1)))
-    return latest_rows(stamped, keys, [F.col("_newer").desc(), *(order or [])]).drop("_newer")
+    latest = latest_rows(new, keys, order or [F.col(k) for k in keys])
+    return old.join(latest.select(*keys), keys, "left_anti").unionByName(latest)
 
 
 def upsert_dataset(spark: SparkSession, path: str, new: DataFrame, keys: list[str],
@@ -128,11 +130,10 @@ def upsert_dataset(spark: SparkSession, path: str, new: DataFrame, keys: list[st
     The merged rows are written to the shared folder before the dataset is
     replaced, since it cannot be read and overwritten in one job.
     """
+    rows = materialize(latest_rows(new, keys, order or [F.col(k) for k in keys]), "new-rows")
     if path_exists(spark, path):
-        new = materialize(upsert(spark.read.parquet(path), new, keys, order), "upsert")
-    else:
-        new = latest_rows(new, keys, order or [F.col(keys[0])])
-    write_dataset(new, path)
+        rows = materialize(upsert(spark.read.parquet(path), rows, keys), "merged-rows")
+    write_dataset(rows, path)
 
 
 def indicator_search_rows(dim_indicators: DataFrame) -> DataFrame:
