@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gaugeline.llm import quality
 from gaugeline.llm.near_dedup import near_classes
 
 
@@ -15,8 +16,15 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op6_minhash_dedup": op6_minhash_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op10_quality_rules": quality.SQL,
+}
