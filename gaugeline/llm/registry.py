@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gaugeline.llm import language_id, quality
+from gaugeline.llm import hosts, language_id, mixing, quality
 from gaugeline.llm.near_dedup import near_classes
 
 
@@ -16,20 +17,34 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_report(table(spark, sf_dir, "documents"))
 
 
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture_report(table(spark, sf_dir, "documents"))
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcome of a page is the quality label of the same number."""
+    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
+    return hosts.judge(table(spark, sf_dir, "pages"), outcomes).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_source_mix": op3_source_mix,
     "op6_minhash_dedup": op6_minhash_dedup,
+    "op7_url_filter": op7_url_filter,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE = {
+    "op7_url_filter": hosts.SQL,
+    "op3_source_mix": mixing.SQL,
     "op10_quality_rules": quality.SQL,
 }
