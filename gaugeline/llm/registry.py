@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import hosts, language_id, mixing, packing, quality
+from gaugeline.llm import hosts, language_id, mixing, packing, quality, token_files
 from gaugeline.llm.near_dedup import near_classes
 
 
@@ -25,6 +25,10 @@ def op4_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_report(table(spark, sf_dir, "documents"))
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"), size=3, percent=85)
 
@@ -43,6 +47,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_source_mix": op3_source_mix,
     "op4_best_two_fit": op4_best_two_fit,
+    "op5_orc_tokens": op5_orc_tokens,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_url_filter": op7_url_filter,
     "op10_quality_rules": op10_quality_rules,
