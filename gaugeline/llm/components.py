@@ -13,10 +13,10 @@ MAX_ROUNDS = 100
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b); equal roots are connected.
 
-    Each round hooks every node to the neighbour of smallest hash (or to itself)
-    and replaces the nodes of the links by their parents. Hashes change with
-    the round, so that no order of ids makes a long chain; the number of rounds
-    grows with the logarithm of the nodes. Neighbours are combined in the map
+    Each round hooks every node to the neighbour of smallest rank (or to itself)
+    and replaces the nodes of the links by their parents. Rounds rank by id,
+    which ends the star around a smallest id at once, and by a new hash in turn, so that no
+    order of ids makes a long chain; their number grows with the logarithm of the nodes. Neighbours are combined in the map
     tasks, so a node with many links costs one row per task, and joins are left
     to adaptive skew splitting. Links with a null end are no links; an empty
     table has no components.
@@ -29,7 +29,8 @@ def components(links: DataFrame) -> DataFrame:
         if edges.isEmpty():
             break
         both = edges.union(edges.select("b", "a"))
-        rank = lambda name: F.struct(F.xxhash64(F.lit(turn), name).alias("h"), F.col(name).alias("v"))
+        first = (lambda name: F.xxhash64(F.lit(turn), name)) if turn % 2 else (lambda name: F.lit(0).cast("long"))
+        rank = lambda name, first=first: F.struct(first(name).alias("h"), F.col(name).alias("v"))
         hooked = both.groupBy("a").agg(F.min(rank("b")).alias("near"))
         parent = materialize(
             hooked.select(F.col("a").alias("node"), F.least("near", rank("a"))["v"].alias("parent")), "component-hooks")

@@ -22,7 +22,7 @@ from gaugeline.llm.components import components
 from gaugeline.session import materialize
 
 BLOCK = 1024  # shingles hashed at once
-PAIRS_A_TASK = 2048  # documents compared with one copy of a bucket's first document
+PAIRS_A_TASK = 128  # documents compared with one copy of a bucket's first document
 
 
 def sketches_for(threshold: float, width: int, recall: float) -> int:
