@@ -62,8 +62,13 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return tables[0], tables[1]
 
 
-def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of every word (64 bits), its row in the slice, and word counts by row."""
+def words(
+    data: np.ndarray, starts: np.ndarray, prefix: int | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of every word (64 bits), its row in the slice, and word counts by row.
+
+    With ``prefix`` only that many first bytes of a word count.
+    """
     rows = len(starts) - 1
     if len(data) == 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(rows, np.int64)
@@ -76,6 +81,8 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     after[-1], after[:-1] = False, solid[1:]
     first = np.flatnonzero(solid & (~before | edge[:-1]))
     end = np.flatnonzero(solid & (~after | edge[1:])) + 1
+    if prefix is not None:
+        end = np.minimum(end, first + prefix)
     power, inverse = _powers(max(SLICE_BYTES, 1 << int(len(data)).bit_length()))
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=total[1:])

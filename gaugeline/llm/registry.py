@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import hosts, language_id, mixing, packing, quality, token_files
+from gaugeline.llm import hosts, language_id, mixing, packing, quality, syncmers, token_files, toxicity
 from gaugeline.llm.near_dedup import near_classes
 
 
@@ -39,6 +39,14 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.judge(table(spark, sf_dir, "pages"), outcomes).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
@@ -50,6 +58,8 @@ QUERIES = {
     "op5_orc_tokens": op5_orc_tokens,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_url_filter": op7_url_filter,
+    "op8_toxicity": op8_toxicity,
+    "op9_syncmer_fingerprints": op9_syncmer_fingerprints,
     "op10_quality_rules": op10_quality_rules,
 }
 
