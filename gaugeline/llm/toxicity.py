@@ -30,9 +30,9 @@ PREFIXES = (None, 4, 5, 6)  # whole words, and their first bytes
 MAX_FEATURES = 4096
 LEAST_TEXTS = 3
 LEAST_Z = 3.0
-STEPS = 400
-RATE = 0.05
-DECAY = 1e-4
+STEPS = 1000
+RATE = 0.2
+DECAY = 1e-5
 
 # Lower-cased, and ASCII punctuation parts words.
 _PLAIN = LOWER.copy()
