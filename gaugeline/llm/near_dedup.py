@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from gaugeline.llm.batches import LOWER, MULTIPLIER, mix, shingles, text_slices, words
 from gaugeline.llm.components import components
+from gaugeline.operators.scale import latest_rows
 from gaugeline.session import materialize
 
 BLOCK = 1024  # shingles hashed at once
@@ -275,7 +276,12 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     Of rows that share a doc_id one stays, the one with the smallest text. Rows with a
     null doc_id all stay. The columns are those of ``docs``.
     """
-    gone = near_classes(docs, size, percent).where(~F.col("kept")).select(F.col("doc_id")).distinct()
-    stay = docs.join(materialize(gone, "near-gone"), "doc_id", "left_anti")
-    return stay.where("doc_id is null").unionByName(
-        stay.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    gone = materialize(
+        near_classes(docs, size, percent).where(~F.col("kept")).select("doc_id").distinct(), "near-gone")
+    again = materialize(
+        docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "near-again")
+    # Only rows that share an id are brought together; the others stay where they are.
+    once = docs.join(gone.unionByName(again).distinct(), "doc_id", "left_anti")
+    shared = docs.join(again, "doc_id", "left_semi").join(gone, "doc_id", "left_anti")
+    first = latest_rows(shared, ["doc_id"], [F.col("text").asc_nulls_last()])
+    return once.select(*docs.columns).unionByName(first.select(*docs.columns))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import hosts, language_id, mixing, packing, quality, syncmers, token_files, toxicity
+from gaugeline.llm import hosts, importance, language_id, mixing, packing, quality, syncmers, token_files, toxicity
 from gaugeline.llm.near_dedup import near_classes
 
 
@@ -17,6 +17,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_report(table(spark, sf_dir, "documents"))
 
 
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets are the documents labelled as good."""
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return importance.resample(table(spark, sf_dir, "documents"), good)
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture_report(table(spark, sf_dir, "documents"))
 
@@ -53,6 +59,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_importance_resampling": op2_importance_resampling,
     "op3_source_mix": op3_source_mix,
     "op4_best_two_fit": op4_best_two_fit,
     "op5_orc_tokens": op5_orc_tokens,
