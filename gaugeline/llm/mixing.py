@@ -32,7 +32,7 @@ def sized(docs: DataFrame) -> DataFrame:
     """doc_id, source, size (words; 0 for a null text) and hash of every document."""
     return docs.select(
         "doc_id", F.col("source").cast("string").alias("source"),
-        F.coalesce(F.size(word_list(F.col("text"))), F.lit(0)).cast("long").alias("size"), hash_of(F.col("doc_id")).alias("hash"))
+        F.size(word_list(F.coalesce("text", F.lit("")))).cast("long").alias("size"), hash_of(F.col("doc_id")).alias("hash"))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_times: int = MOST_TIMES) -> DataFrame:

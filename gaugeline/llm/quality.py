@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 from gaugeline.session import materialize
 
 # Fixed values of the contract and of the rules.
-SPACES = " \t\n\x0b\f\r"
-SYMBOLS = "#*$%&|<>"
+SPACES = r"[\x20\x09-\x0D]+"
+NO_SPACE = r"[^\x20\x09-\x0D]"
+SYMBOLS = r"[#*$%&|<>]"
 LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 WINDOW = 5
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 SAMPLE_ROWS = 1000
 TIMED_RUNS = 2
@@ -43,33 +43,24 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
 def word_list(text: Column) -> Column:
     """The runs of characters other than ASCII space, in order."""
-    plain = F.translate(text, SPACES[1:], " " * (len(SPACES) - 1))
-    return F.array_remove(F.split(plain, " "), "")
-
-
-def word_chars(text: Column) -> Column:
-    return F.length(without(text, SPACES)).cast("long")
-
-
-def symbol_count(text: Column) -> Column:
-    return (F.length(text) - F.length(without(text, SYMBOLS))).cast("long")
+    return F.array_remove(F.split(text, SPACES), "")
 
 
 def word_lines(text: Column) -> Column:
     """The lines that have a word."""
-    return F.filter(F.split(text, "\n"), lambda line: F.length(without(line, SPACES)) > 0)
+    return F.filter(F.split(text, "\n"), lambda line: line.rlike(NO_SPACE))
 
 
 def duplicate_lines(lines: Column) -> Column:
     return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
 
 
+def count_matches(text: Column, pattern: str) -> Column:
+    return F.regexp_count(text, F.lit(pattern)).cast("long")
+
+
 def repeated_words(words: Column) -> Column:
     """Words that lie in a window of five words found twice or more.
 
@@ -104,32 +95,49 @@ def repeated_words(words: Column) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(w)), count)
 
 
-def standard_rules(text: Column) -> list[Rule]:
-    """The rules of production. Each is an expression over the text alone."""
-    n_words = F.size(word_list(text))
-    chars = word_chars(text)
+def counts(text: Column, words: Column) -> dict[str, Column]:
+    """The counts of a text, by name. ``words`` is ``word_list(text)`` or a column that holds it."""
+    return {
+        "n_words": F.size(words).cast("long"),
+        "word_chars": F.length(F.array_join(words, "")).cast("long"),
+        "n_symbols": count_matches(text, SYMBOLS),
+        "n_dup_lines": let(word_lines(text), duplicate_lines),
+        "n_lines": F.size(word_lines(text)).cast("long"),
+        "n_repeat_words": repeated_words(words),
+    }
+
+
+def standard_rules(text: Column, count: dict[str, Column]) -> list[Rule]:
+    """The rules of production over a text and its counts.
+
+    The counts may be expressions, which only the rule that needs them then
+    computes, or columns that are there already.
+    """
     return [
-        Rule("few_words", n_words < LEAST_WORDS),
-        Rule("symbols", symbol_count(text) * 10 > n_words),
-        Rule("word_length", (chars < n_words * 2) | (chars > n_words * 15)),
-        Rule("duplicate_lines", let(word_lines(text), lambda lines: duplicate_lines(lines) * 2 > F.size(lines))),
-        Rule("few_letters", F.length(F.regexp_replace(text, r"\P{L}+", "")) * 2 < chars),
-        Rule("capitals", (F.length(text) - F.length(without(text, CAPITALS))) * 2 > chars),
-        Rule("repeated_windows", let(
-            word_list(text), lambda words: repeated_words(words) * 100 > F.size(words) * MOST_REPEATED_PERCENT)),
+        Rule("few_words", count["n_words"] < LEAST_WORDS),
+        Rule("symbols", count["n_symbols"] * 10 > count["n_words"]),
+        Rule("word_length", (count["word_chars"] < count["n_words"] * 2) | (count["word_chars"] > count["n_words"] * 15)),
+        Rule("duplicate_lines", count["n_dup_lines"] * 2 > count["n_lines"]),
+        Rule("few_letters", F.length(F.regexp_replace(text, r"\P{L}+", "")) * 2 < count["word_chars"]),
+        Rule("capitals", count_matches(text, "[A-Z]") * 2 > count["word_chars"]),
+        Rule("repeated_windows", count["n_repeat_words"] * 100 > count["n_words"] * MOST_REPEATED_PERCENT),
     ]
 
 
-def order_rules(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+def order_rules(
+    docs: DataFrame, rules: Sequence[Rule], prepare: Callable[[DataFrame], DataFrame] = lambda some: some,
+    sample_rows: int = SAMPLE_ROWS,
+) -> list[Rule]:
     """The rules by rejections per second, each among what those before it let pass.
 
+    ``prepare`` adds the columns that the rules read, to the sample only.
     Both figures come from about ``sample_rows`` rows of the whole table. What
     is brought to the driver is a count for each combination of verdicts in the sample.
     """
     rows = docs.count()
     if rows == 0:
         return list(rules)
-    some = materialize(docs.sample(fraction=min(1.0, sample_rows / rows), seed=17), "rule-sample")
+    some = materialize(prepare(docs.sample(fraction=min(1.0, sample_rows / rows), seed=17)), "rule-sample")
 
     def seconds(expression: Column) -> float:
         spent = []
@@ -167,27 +175,27 @@ def quality_report(docs: DataFrame) -> DataFrame:
     one by one. Columns of ``docs`` other than doc_id and text are not read.
     """
     clean = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rules = order_rules(clean, standard_rules(F.col("text")))
-    counted = clean.withColumn("words", word_list(F.col("text"))).select(
-        "doc_id",
-        F.size("words").cast("long").alias("n_words"),
-        word_chars(F.col("text")).alias("word_chars"),
-        symbol_count(F.col("text")).alias("n_symbols"),
-        let(word_lines(F.col("text")), duplicate_lines).alias("n_dup_lines"),
-        repeated_words(F.col("words")).alias("n_repeat_words"),
-        cascade(rules).alias("rejected_by"))
-    failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED_PERCENT)
-    return counted.select(
+    found = counts(F.col("text"), F.col("words"))
+
+    def counted(some: DataFrame) -> DataFrame:
+        return some.withColumn("words", word_list(F.col("text"))).select(
+            "doc_id", "text", *[count.alias(name) for name, count in found.items()])
+
+    # The counts are asked for anyway, so the rules take them as they are.
+    rules = standard_rules(F.col("text"), {name: F.col(name) for name in found})
+    failed = rules[0].rejects | rules[-1].rejects
+    verdict = cascade(order_rules(clean, rules, counted))
+    return counted(clean).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), (~failed & F.col("rejected_by").isNull()).alias("kept"))
+        failed.alias("base_failed"), (~failed & verdict.isNull()).alias("kept"))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that no rule rejects, with the columns of ``docs``. A null text is rejected."""
-    rules = order_rules(
-        docs.select(F.coalesce("text", F.lit("")).alias("text")), standard_rules(F.col("text")))
-    verdict = cascade([Rule("null_text", F.col("text").isNull()), *rules])
-    return docs.where(verdict.isNull())
+    text = F.col("text")
+    rules = standard_rules(text, counts(text, word_list(text)))
+    ordered = order_rules(docs.select(F.coalesce("text", F.lit("")).alias("text")), rules)
+    return docs.where(cascade([Rule("null_text", text.isNull()), *ordered]).isNull())
 
 
 SQL = r"""
