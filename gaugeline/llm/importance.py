@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugeline.llm.batches import LOWER, shingles, text_slices, words
-from gaugeline.operators.scale import top_rows
+from gaugeline.llm.sampling import hash_sample
 from gaugeline.session import materialize
 
 BUCKETS = 1 << 16
@@ -54,7 +54,7 @@ def bucket_counts(texts: DataFrame) -> DataFrame:
 def target_texts(docs: DataFrame, target_ids: DataFrame, most: int = MAX_TARGETS) -> DataFrame:
     """The texts of at most ``most`` of ``target_ids`` (doc_id). The stored ids are few enough to move instead of the texts."""
     ids = target_ids.where("doc_id is not null").select("doc_id", F.lit(0).alias("all")).distinct()
-    chosen = materialize(top_rows(ids, ["all"], [F.xxhash64("doc_id"), F.col("doc_id")], most).select("doc_id"), "targets")
+    chosen = materialize(hash_sample(ids, "all", most).select("doc_id"), "targets")
     return docs.join(chosen, "doc_id", "left_semi").select("text")
 
 

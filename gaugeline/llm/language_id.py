@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeline.llm.batches import text_slices
-from gaugeline.operators.scale import top_rows
+from gaugeline.llm.sampling import hash_sample
 from gaugeline.session import materialize
 
 ORDER = 3
@@ -57,9 +57,7 @@ def training_texts(docs: DataFrame, per_language: int) -> DataFrame:
     Ids are chosen first, so that only chosen texts are moved.
     """
     narrow = docs.where("lang is not null and text is not null and doc_id is not null").select("doc_id", "lang").distinct()
-    chosen = materialize(
-        top_rows(narrow, ["lang"], [F.xxhash64("doc_id"), F.col("doc_id")], per_language).select("doc_id", "lang"),
-        "language-sample")
+    chosen = materialize(hash_sample(narrow, "lang", per_language).select("doc_id", "lang"), "language-sample")
     return docs.where("text is not null").select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
 
 

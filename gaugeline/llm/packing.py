@@ -169,6 +169,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
     earlier = W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
     before = counted.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     doc_type = docs.schema["doc_id"].dataType.simpleString()
-    return pieces.join(before, ["task", "length"]).select(
+    # The counts grow with the tasks, so they are not broadcast.
+    return pieces.join(before.hint("merge"), ["task", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("nth")).alias("rank")
     ).mapInArrow(place, f"doc_id {doc_type}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")

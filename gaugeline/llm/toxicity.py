@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from gaugeline.llm.batches import LOWER, SEED, text_slices, words
 from gaugeline.llm.language_id import held_out
-from gaugeline.operators.scale import top_rows
+from gaugeline.llm.sampling import hash_sample
 from gaugeline.session import materialize
 
 MAX_POSITIVE = 4000  # texts of each sample, whole, chosen by a hash of the id
@@ -69,9 +69,7 @@ def samples(docs: DataFrame, labels: DataFrame, max_positive: int, max_unlabelle
     toxic = labels.where("toxic = 1").select("doc_id").distinct()
     pool = ids.select(F.lit(0).alias("kind"), "doc_id").unionByName(
         ids.join(toxic, "doc_id", "left_semi").select(F.lit(1).alias("kind"), "doc_id"))
-    most = max(max_positive, max_unlabelled)
-    chosen = top_rows(pool, ["kind"], [F.xxhash64("doc_id"), F.col("doc_id")], most, "place").where(
-        (F.col("kind") == 0) & (F.col("place") <= max_unlabelled) | (F.col("kind") == 1) & (F.col("place") <= max_positive))
+    chosen = hash_sample(pool, "kind", {1: max_positive, 0: max_unlabelled})
     return docs.where("text is not null").select("doc_id", "text").join(
         materialize(chosen.select("kind", "doc_id"), "toxicity-sample"), "doc_id").select("kind", "text")
 
@@ -137,6 +135,8 @@ def _train(kind: np.ndarray, row: np.ndarray, column: np.ndarray, width: int, pr
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.999 * square + 0.001 * gradient**2
         theta -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
+        # A text without any feature of toxic texts is no likelier toxic than any text.
+        theta[-1] = min(theta[-1], np.log(prior / (1 - prior)))
     return theta[:-1], float(theta[-1])
 
 
