@@ -134,9 +134,9 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_times: int =
     """The documents as often as the mixture takes them, with the columns of ``docs``."""
     sizes = materialize(sized(docs), "mix-sizes")
     targets = materialize(source_targets(sizes, weights, most_times), "mix-targets")
-    cut = materialize(thresholds(sizes, targets), "mix-thresholds").select(F.col("source").alias("__s"), "copies", "threshold")
+    cut = materialize(thresholds(sizes, targets), "mix-thresholds").toDF("__s", "__copies", "__threshold")
     # One row per source: only the documents' own rows are repeated.
-    times = F.col("copies") + (hash_of(F.col("doc_id")) < F.col("threshold")).cast("long")
+    times = F.col("__copies") + (hash_of(F.col("doc_id")) < F.col("__threshold")).cast("long")
     return (
         docs.join(cut, F.col("source").cast("string").eqNullSafe(F.col("__s")))
         .withColumn("__times", times).where("__times > 0")

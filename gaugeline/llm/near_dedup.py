@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from gaugeline.llm.batches import LOWER, MULTIPLIER, mix, shingles, text_slices, words
 from gaugeline.llm.components import components
-from gaugeline.operators.scale import latest_rows
+from gaugeline.operators.scale import top_rows
 from gaugeline.session import materialize
 
 BLOCK = 1024  # shingles hashed at once
@@ -283,5 +283,5 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     # Only rows that share an id are brought together; the others stay where they are.
     once = docs.join(gone.unionByName(again).distinct(), "doc_id", "left_anti")
     shared = docs.join(again, "doc_id", "left_semi").join(gone, "doc_id", "left_anti")
-    first = latest_rows(shared, ["doc_id"], [F.col("text").asc_nulls_last()])
+    first = top_rows(shared, ["doc_id"], [F.col("text").asc_nulls_last()], 1, "__place")
     return once.select(*docs.columns).unionByName(first.select(*docs.columns))
