@@ -1,7 +1,8 @@
 """Time the registered queries and print one JSON line.
 
 Settings: ``BENCH_SF_DIR`` (data folder), ``BENCH_CPUS`` (local cores),
-``BENCH_RUNS`` (warm runs, the median counts), ``BENCH_QUERIES`` (comma list).
+``BENCH_RUNS`` (warm runs, the median counts), ``BENCH_QUERIES`` (comma list),
+``BENCH_SHARED_DIR`` (folder of the intermediate tables).
 Every run materialises the whole result. The stored star schemas and graph are
 built once; building them is timed as ``build_*``.
 """
@@ -12,6 +13,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -33,7 +35,9 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "1"))
     chosen = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = build_session(
-        "bench", f"local[{cpus}]", int(cpus), **{"spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
+        "bench", f"local[{cpus}]", int(cpus), **{
+            "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="bench-")})
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
 

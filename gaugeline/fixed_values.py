@@ -158,14 +158,11 @@ WHITESPACE_CLASS = (
 )
 PARAGRAPH_BREAK = rf"\n{WHITESPACE_CLASS}*\n+|\r\n{WHITESPACE_CLASS}*\r\n+"
 SENTENCE_BREAK = rf"(?<=[.!?]){WHITESPACE_CLASS}+|\n"
-# A longer run of letters is cut into words of this many characters.
-MAX_WORD_CHARS = 255
 WORD_PATTERN = r"[\p{L}\p{M}\p{N}]{1,255}"
 
 ABSTRACT_MIN_CHARS = 10
 SEARCH_RESULT_CAP = 500
 SEARCH_PAGE_SIZE = 50
-SEARCH_MAX_PAGES = 5
 
 UUID_DIGITS = r"^[0-9a-f]{32}$"
 MESSAGE_ROLES = ["user", "assistant", "system"]

@@ -73,21 +73,9 @@ def rerank(nodes: DataFrame, k: int, weights: list[tuple[str, float]] | None = N
     return top_rows(score_nodes(nodes, weights), ["query_id"], [F.col("score").desc(), F.col("position")], k)
 
 
-def most_blocks(max_chars: int = fv.CONTEXT_CHARS) -> int:
-    """No context holds more blocks than this.
-
-    The shortest block has an empty type and id; blocks are added while the
-    characters so far do not exceed ``max_chars``.
-    """
-    used, blocks = 0, 0
-    while used <= max_chars:
-        blocks += 1
-        used += len(f"[Doc_{blocks}] | Type:  | ID: \n")
-    return blocks
-
-
 def block_text(rank: Column, kind: Column, node: Column, properties: Column) -> Column:
-    """The text block of one node, by its type."""
+    """The text block of one node, by its type; a null type or id is empty text."""
+    kind, node = F.coalesce(kind, F.lit("")), F.coalesce(node, F.lit(""))
 
     def prop(*names: str) -> Column:
         return F.coalesce(*[F.try_element_at(properties, F.lit(n)) for n in names], F.lit(""))
@@ -116,10 +104,7 @@ def context_blocks(ranked: DataFrame, max_chars: int = fv.CONTEXT_CHARS) -> Data
     block is kept while the blocks before it have at most ``max_chars``
     characters, so the block that crosses the limit is the last one.
     """
-    # Ranks beyond this cannot be kept, whatever the blocks hold; the running
-    # sum below therefore never sees more rows of one query.
-    near = ranked.filter(F.col("rank") <= most_blocks(max_chars))
-    blocks = near.select(
+    blocks = ranked.select(
         "query_id", "rank", block_text(F.col("rank"), F.col("type"), F.col("id"), F.col("properties")).alias("block"))
     before = F.expr(
         "sum(length(block)) over (partition by query_id order by rank"

@@ -57,13 +57,13 @@ def enrich_countries(seed: DataFrame, silver: DataFrame) -> DataFrame:
 
 
 def dim_countries(seed: DataFrame, silver: DataFrame) -> DataFrame:
-    """Country dimension with a surrogate key in code order.
+    """Country dimension with a surrogate key in code order, then in name order.
 
     The numbered input is written out first: numbering reads it more than
     once, and it hangs on a scan of all observations.
     """
     enriched = materialize(enrich_countries(seed, silver), "countries")
-    return number_rows(enriched, "country_code", "country_key").select(
+    return number_rows(enriched, "country_code", "country_key", ("country_name",)).select(
         F.col("country_key").cast("long").alias("country_key"),
         "country_code", "country_name", "region", "income_group", "is_asean", "is_primary",
     )

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from gaugeline import fixed_values as fv
 from gaugeline.functions.text import let, or_empty, split_and_strip
-from gaugeline.operators.scale import join_small, top_rows
+from gaugeline.operators.scale import top_rows
 from gaugeline.session import materialize
 from gaugeline.sources.sinks import upsert
 
@@ -201,8 +201,8 @@ def containing(texts: DataFrame, text: str, terms: DataFrame, term: str) -> Data
     A text that contains a term contains the term's first characters, so
     candidates come from an equality join on those, and only they are compared.
     """
-    keyed = terms.select(term).filter(F.length(term) > 0).distinct().withColumn(
-        "_gram", F.left(term, F.lit(GRAM)))
+    keyed = materialize(terms.select(term).filter(F.length(term) > 0).distinct().withColumn(
+        "_gram", F.left(term, F.lit(GRAM))), "terms")
     def grams(chars: Column, width: int) -> Column:
         starts = F.sequence(F.lit(1), F.size(chars) - (width - 1))
         found = F.transform(starts, lambda i: F.array_join(F.slice(chars, i, width), ""))
@@ -216,7 +216,7 @@ def containing(texts: DataFrame, text: str, terms: DataFrame, term: str) -> Data
         unfolded = F.array_distinct(let(
             F.split(text, ""), lambda chars: F.concat(*[grams(chars, w) for w in sorted(widths)])))
     return (
-        join_small(texts.withColumn("_gram", F.explode(unfolded)), keyed, ["_gram"])
+        texts.withColumn("_gram", F.explode(unfolded)).join(keyed, "_gram")
         .filter(F.contains(F.col(text), F.col(term)))
         .drop("_gram")
     )

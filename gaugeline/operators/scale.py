@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BROADCAST_ROWS = 500_000
-ONE_TASK_ROWS = 100_000
+from gaugeline.session import materialize
 
 
 def top_rows(
@@ -19,7 +18,8 @@ def top_rows(
     the map tasks before the shuffle, so a key holding a third of all rows
     sends only ``k`` rows per map task. (The plan shows it as
     ``WindowGroupLimit``; it applies up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 by default.)
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, which ``build_session``
+    raises.)
     """
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)
@@ -30,28 +30,6 @@ def latest_rows(df: DataFrame, keys: list[str], order: list[Column]) -> DataFram
     return top_rows(df, keys, order, 1, "_rank").drop("_rank")
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows. Counts in parallel."""
-    return df.count() <= max_rows
-
-
-def join_small(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Join with a side that is expected, and checked, to be small.
-
-    Within the bound the small side is broadcast and ``left`` is not moved.
-    Beyond it both sides are shuffled, and adaptive execution splits the hot
-    keys; the hint keeps Spark from broadcasting on a size it can only guess.
-    """
-    right = F.broadcast(right) if is_small(right, max_rows) else right.hint("merge")
-    return left.join(right, on, how)
-
-
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -72,35 +50,18 @@ def spread_join(
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def number_rows(
-    df: DataFrame,
-    key: str,
-    name: str,
-    one_task_rows: int = ONE_TASK_ROWS,
-    slices: int = 64,
-) -> DataFrame:
-    """Number all rows 1, 2, 3… in the order of a unique ``key``.
+def number_rows(df: DataFrame, key: str, name: str, tie: tuple[str, ...] = ()) -> DataFrame:
+    """Number all rows 1, 2, 3… (long) in the order of ``key``, then of the ``tie`` columns.
 
-    Up to ``one_task_rows`` rows a plain window does it in one task. Beyond
-    that the key range is cut at pivots (an evenly hashed choice of keys), each
-    slice is numbered on its own, and every slice is shifted by the row count
-    of the slices before it. Pivots are literals, so a re-run task puts every
-    row in the same slice.
+    Rows are dealt to ranges of the key and stored with the number of their
+    range, so what follows does not depend on how the ranges were chosen. Each
+    range is numbered on its own and shifted by the rows of those before it
+    (one count for each range). Rows equal in all these columns are numbered in any order.
     """
-    if df.count() <= one_task_rows:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(key)))
-
-    per_slice = 32
-    chosen = df.select(key).orderBy(F.xxhash64(key)).limit(slices * per_slice)
-    ordered = sorted(row[0] for row in chosen.collect())
-    pivots = F.array(*[F.lit(p) for p in ordered[per_slice::per_slice]])
-    sliced = df.withColumn("_slice", F.size(F.filter(pivots, lambda p: p <= F.col(key))))
-
-    sizes = {row["_slice"]: row["count"] for row in sliced.groupBy("_slice").count().collect()}
-    before, shift = 0, []
-    for slice_no in sorted(sizes):
-        shift += [F.lit(slice_no), F.lit(before)]
-        before += sizes[slice_no]
-    offset = F.create_map(*shift)[F.col("_slice")]
-    within = F.row_number().over(Window.partitionBy("_slice").orderBy(key))
-    return sliced.withColumn(name, (within + offset).cast("long")).drop("_slice")
+    order = [key, *tie]
+    sliced = materialize(df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()), "numbered")
+    counts = sliced.groupBy("_slice").agg(F.count("*").alias("_rows"))
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counts.select("_slice", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_shift"))
+    within = F.row_number().over(Window.partitionBy("_slice").orderBy(*order))
+    return sliced.join(shifts, "_slice").withColumn(name, (within + F.col("_shift")).cast("long")).drop("_slice", "_shift")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from gaugeline import fixed_values as fv
 from gaugeline.functions.text import counted, words
-from gaugeline.operators.scale import is_small, join_small, spread_join, top_rows
+from gaugeline.operators.scale import top_rows
 from gaugeline.session import materialize
 
 # A word that no tokenizer produces; it carries the row count of a field.
@@ -167,9 +167,10 @@ def match_words(asked: DataFrame, known: DataFrame) -> DataFrame:
     edits = F.when(F.col("len") <= 1, 0).when(F.col("len") <= 5, 1).otherwise(2)
     known_keys = near.select(
         "field", "known_word", F.explode(deletion_keys(F.col("known_word"), edits)).alias("key"))
-    asked_keys = matchable.select(
-        "field", "word", "edits", F.explode(deletion_keys(F.col("word"), F.col("edits"))).alias("key"))
-    pairs = join_small(known_keys, asked_keys, ["field", "key"]).select(
+    # Stored, so that the join is chosen by its size in bytes.
+    asked_keys = materialize(matchable.select(
+        "field", "word", "edits", F.explode(deletion_keys(F.col("word"), F.col("edits"))).alias("key")), "asked-keys")
+    pairs = known_keys.join(asked_keys, ["field", "key"]).select(
         "field", "word", "edits", "known_word").distinct()
     distance = F.when(F.col("word") == F.col("known_word"), 0).otherwise(
         edit_distance(F.col("word"), F.col("known_word")))
@@ -200,7 +201,7 @@ def word_weights(
     return (
         asked.join(matches, ["field", "word"])
         .join(known_df, ["field", "known_word"])
-        .join(field_rows, "field")
+        .join(F.broadcast(field_rows), "field")  # one row for each field
         .withColumn("weight", boosts[F.col("field")] * F.col("n") * closeness * idf)
         .groupBy("query_id", "field", "known_word")
         .agg(F.sum("weight").alias("weight"),
@@ -215,22 +216,18 @@ def score_rows(index: DataFrame, weights: DataFrame, k: int, by_id: bool = False
     """The ``k`` best rows of every query as (query_id, id, score, rank).
 
     The words of a row are already counted, and those outside the queries are
-    dropped, before the rest is moved, once, by row id. Scoring then happens
-    inside those partitions, and only ``k`` rows per query leave each of them.
-    An index stored in buckets by id (``by_id``) is not moved at all.
+    dropped, before the rest is moved by row id. The weights are stored, so
+    Spark broadcasts them if their bytes allow it; scoring then happens inside those
+    partitions, and only ``k`` rows per query leave each of them. Larger
+    weights meet the words in a shuffle join, whose hot words adaptive
+    execution splits. An index stored in buckets by id (``by_id``) is not moved for a broadcast.
     """
     weights = materialize(weights, "word-weights")
-    used = weights.select("field", "word").distinct()
-    small = is_small(weights)
-    if small:
-        used, weights = F.broadcast(used), F.broadcast(weights)
+    used = materialize(weights.select("field", "word").distinct(), "words-used")
     found = postings(index).join(used, ["field", "word"], "left_semi")
     if not by_id:
         found = found.repartition("id")
-    if small:
-        scored = found.join(weights, ["field", "word"])
-    else:
-        scored = spread_join(found, weights, ["field", "word"], ["id"])
+    scored = found.join(weights, ["field", "word"])
     norm = 1.0 - F.col("b") + F.col("b") * F.col("len") / F.col("avg_len")
     part = F.col("weight") * F.col("tf") / (F.col("tf") + fv.BM25_K1 * norm)
     return top_rows(

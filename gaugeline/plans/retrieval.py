@@ -31,12 +31,21 @@ HITS = "query_id {id}, id string, rank int, properties map<string,string>"
 PROPERTIES = "map<string,string>"
 
 
-def branch(name: str, build: Callable[[], DataFrame], empty: DataFrame) -> DataFrame:
-    """Run one branch to a table; a branch that fails counts as empty."""
+def branch(
+    name: str, build: Callable[[], DataFrame], empty: DataFrame, degrade: bool, failed: list[str]
+) -> DataFrame:
+    """Run one branch to a table.
+
+    A failure is raised, unless the caller wants to ``degrade``: then the branch counts as
+    empty and its name is added to ``failed``.
+    """
     try:
         return materialize(build(), name)
     except PySparkException as error:
+        if not degrade:
+            raise
         log.warning("%s failed, going on without it: %s", name, error)
+        failed.append(name)
         return empty
 
 
@@ -70,9 +79,13 @@ def retrieve(
     use: tuple[str, ...] = ("lexical", "semantic", "graph"),
     max_nodes: int = fv.EXPANSION_CAP_IN_RETRIEVAL,
     dedupe: bool = True,
+    degrade: bool = False,
 ) -> DataFrame:
     """(query_id, query, context, n_nodes) for every query of (query_id, query).
 
+    A branch that fails raises. With ``degrade`` the others go on, and a column
+    ``failed_branches`` (array) names what every row had to do without.
+
     Each stage works on all questions at once and is stored, so that the next
     one plans with its real size. A question without any hit gets the fixed
     no-context message.
@@ -83,24 +96,27 @@ def retrieve(
     no_hits = spark.createDataFrame([], HITS.format(id=id_type))
     no_semantic = no_hits.withColumn("source_type", F.lit("").cast("string"))
 
+    failed: list[str] = []
     lexical, semantic = no_hits, no_semantic
     if "lexical" in use:
-        lexical = branch("lexical", lambda: lexical_hits(indicators, questions, fv.LEXICAL_SIZE_IN_RETRIEVAL), no_hits)
+        lexical = branch(
+            "lexical", lambda: lexical_hits(indicators, questions, fv.LEXICAL_SIZE_IN_RETRIEVAL), no_hits, degrade, failed)
     if "semantic" in use:
         semantic = branch(
-            "semantic", lambda: semantic_hits(vectors, query_vectors, fv.SEMANTIC_SIZE_IN_RETRIEVAL), no_semantic)
+            "semantic", lambda: semantic_hits(vectors, query_vectors, fv.SEMANTIC_SIZE_IN_RETRIEVAL), no_semantic,
+            degrade, failed)
     anchors = materialize(fuse(lexical, semantic), "anchors")
 
     no_nodes = spark.createDataFrame([], f"query_id {id_type}, place int, type string, id string, properties {PROPERTIES}")
     expanded = no_nodes
     if "graph" in use:
-        expanded = branch("graph", lambda: expand(nodes, edges, anchors, max_nodes), no_nodes)
+        expanded = branch("graph", lambda: expand(nodes, edges, anchors, max_nodes), no_nodes, degrade, failed)
     all_nodes = combine_nodes(anchors, expanded, dedupe)
     ranked = materialize(rerank(all_nodes, fv.FUSED_SIZE + max_nodes), "ranked")
 
     contexts = add_facts(assemble(ranked), question_facts(ranked, questions, gold))
     counts = ranked.groupBy("query_id").agg(F.count("*").alias("n_nodes"))
-    return (
+    answers = (
         questions.select("query_id", "query")
         .join(contexts, "query_id", "left")
         .join(counts, "query_id", "left")
@@ -110,3 +126,4 @@ def retrieve(
             F.coalesce("n_nodes", F.lit(0)).alias("n_nodes"),
         )
     )
+    return answers.withColumn("failed_branches", F.array(*map(F.lit, failed)).cast("array<string>")) if degrade else answers

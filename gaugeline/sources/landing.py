@@ -69,15 +69,15 @@ def document_entries(pages: DataFrame, body: str = "body") -> DataFrame:
 def normalise_documents(
     pages: DataFrame,
     body: str = "body",
-    max_results: int | None = fv.SEARCH_RESULT_CAP,
+    max_results: int | None = None,
     ingested_at: Column | None = None,
     source: str = fv.DOCUMENT_SOURCE,
 ) -> DataFrame:
     """Document metadata from landed search pages.
 
     A document found by several queries counts where it was seen first
-    (query, page, position). ``max_results`` keeps that many documents in the
-    order they were found; None keeps all.
+    (query, page, position). All are kept, unless ``max_results`` asks for that
+    many in the order they were found.
     """
     seen = [F.col("query_no"), F.col("page"), F.col("position")]
     entries = latest_rows(document_entries(pages, body), ["doc_id"], seen)

@@ -10,6 +10,7 @@ import glob
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -79,7 +80,8 @@ def main() -> int:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
-    spark = build_session("compare", "local[8]", 8, **{"spark.driver.memory": "12g"})
+    spark = build_session("compare", "local[8]", 8, **{
+        "spark.driver.memory": "12g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-")})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     bad = 0

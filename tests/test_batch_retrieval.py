@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from gaugeline import fixed_values as fv
@@ -58,10 +59,13 @@ def test_no_hit_gives_the_message(world):
     assert rows[3]["context"] == fv.NO_CONTEXT_MESSAGE and rows[3]["n_nodes"] == 0
 
 
-def test_a_failing_branch_is_left_out(world):
+def test_a_failing_branch_raises_unless_degrading_is_asked_for(world):
     broken = list(world)
     broken[2] = broken[2].withColumn("embedding", F.expr("raise_error('no vectors')").cast("array<float>"))
     broken[5] = broken[0]  # has no edge columns
-    rows = {r["query_id"]: r for r in retrieval.retrieve(*broken).collect()}
+    with pytest.raises(PySparkException):
+        retrieval.retrieve(*broken).collect()
+    rows = {r["query_id"]: r for r in retrieval.retrieve(*broken, degrade=True).collect()}
+    assert rows[1]["failed_branches"] == ["semantic", "graph"]
     alone = run(world, use=("lexical",))
     assert rows[1]["context"] == alone[1]["context"]

@@ -89,10 +89,12 @@ QUERIES = [(0, "the gdp rate"), (1, "price price index"), (2, "labor"), (3, "not
 FIELDS = [("text", 1.0, "text")]
 
 
-@pytest.mark.parametrize("small_limit", [500_000, 0])
-def test_bm25_with_broadcast_and_with_spread_weights(spark, monkeypatch, small_limit):
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_bm25_with_broadcast_and_with_shuffled_weights(spark, request, threshold):
     docs = small_corpus()
-    monkeypatch.setattr(search, "is_small", lambda df: df.count() <= small_limit)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     corpus = spark.createDataFrame(docs, "doc_id long, text string")
     queries = spark.createDataFrame(QUERIES, "query_id long, query string")
     hits = search.search(corpus, queries, "doc_id", FIELDS, k=7, fuzzy=False).orderBy("query_id", "rank").collect()
@@ -328,14 +330,14 @@ def test_blocks_and_budget(spark):
     assert context.context_blocks(ranked, max_chars=width - 1).count() == 2
 
 
-def test_most_blocks_is_never_too_low():
-    for limit in (0, 23, 24, 25, 500, 24000):
-        used = blocks = 0
-        while used <= limit:
-            blocks += 1
-            used += len(f"[Doc_{blocks}] | Type:  | ID: \n")
-        assert context.most_blocks(limit) == blocks
-    assert context.most_blocks() < 1000
+def test_nodes_without_id_or_type_are_blocks_like_others(spark):
+    ranked = spark.createDataFrame([(1, n, None, None, {}) for n in range(1, 2001)], f"query_id int, rank int, type string, id string, properties {PROPS}")
+    text = context.assemble(ranked).first()["context"]
+    used = blocks = 0
+    while used <= 24000:
+        blocks += 1
+        used += len(f"[Doc_{blocks}] | Type:  | ID: \n")
+    assert text.count("[Doc_") == blocks
 
 
 def test_layer_weights(spark):

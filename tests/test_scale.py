@@ -39,20 +39,18 @@ def test_spread_join_equals_plain_join(spark):
         assert spread.exceptAll(plain).count() == 0 and plain.exceptAll(spread).count() == 0
 
 
-def test_a_side_is_broadcast_only_within_the_bound(spark):
-    left, right = skewed(spark), spark.range(100).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"))
-    assert "BroadcastHashJoin" in plan(scale.join_small(left, right, ["key"]))
-    large = scale.join_small(left, right, ["key"], max_rows=10)
-    assert "SortMergeJoin" in plan(large) and "Broadcast" not in plan(large)
-    assert large.count() == scale.join_small(left, right, ["key"]).count()
-
-
-def test_numbering_by_slices_equals_one_window(spark):
-    df = spark.range(5000, numPartitions=8).select(F.sha2(F.col("id").cast("string"), 256).alias("code"))
-    sliced = scale.number_rows(df, "code", "n", one_task_rows=100, slices=16)
-    assert "SinglePartition" not in plan(sliced)
-    whole = scale.number_rows(df, "code", "n")
-    assert {(r["code"], r["n"]) for r in sliced.collect()} == {(r["code"], r["n"]) for r in whole.collect()}
+def test_numbering_equals_one_window(spark):
+    df = spark.range(5000, numPartitions=8).select(F.sha2((F.col("id") % 4000).cast("string"), 256).alias("code"), F.col("id").alias("tie"))
+    found = scale.number_rows(df, "code", "n", ("tie",))
+    assert found.schema["n"].dataType.simpleString() == "bigint"
+    expected = {(c, t): n for n, (c, t) in enumerate(sorted((r["code"], r["tie"]) for r in df.collect()), 1)}
+    assert {(r["code"], r["tie"]): r["n"] for r in found.collect()} == expected
+
+
+def test_numbering_of_few_rows_nulls_and_none(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",)], "code string")
+    assert {r["code"]: r["n"] for r in scale.number_rows(df, "code", "n").collect()} == {None: 1, "a": 2, "b": 3}
+    assert scale.number_rows(df.limit(0), "code", "n").collect() == []
 
 
 def test_latest_row_of_a_hot_observation_key(spark):
