@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from gaugeline.llm.batches import LOWER, MULTIPLIER, mix, shingles, text_slices, words
 from gaugeline.llm.components import components
+from gaugeline.llm.ranges import parts_of
 from gaugeline.operators.scale import top_rows
 from gaugeline.session import materialize
 
@@ -222,7 +223,8 @@ def near_classes(
         sketched.where("n_shingles > 0 and doc_id is not null").groupBy(*signature).agg(
             F.min("doc_id").alias("rep"), F.any_value("sketch").alias("sketch")), "near-representatives")
 
-    keyed = alike.select(
+    # Every row becomes ``sketches ** 2`` rows, so the tasks that make them are to be many.
+    keyed = alike.repartition(parts_of(docs), "rep").select(
         F.col("rep").alias("doc"), F.col("n_shingles").alias("n"),
         F.explode(table_keys(F.col("sketch"), sketches)).alias("key"))
     buckets = keyed.groupBy("key").agg(
