@@ -18,7 +18,7 @@ from gaugeline import fixed_values as fv
 from gaugeline.functions.text import let, or_empty, split_and_strip
 from gaugeline.operators.scale import top_rows
 from gaugeline.session import materialize
-from gaugeline.sources.sinks import upsert
+from gaugeline.sources.sinks import newest, upsert
 
 GRAM = 6
 
@@ -165,18 +165,29 @@ def source_edges(indicators: DataFrame, table_name: str) -> DataFrame:
 
 
 def upsert_nodes(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Nodes by (type, id); a new node replaces the old one."""
-    return upsert(old, new, ["type", "id"])
+    """Nodes by (type, id); a new node replaces the old one, which leaves it the properties that the new one does not set."""
+    latest = newest(new, ["type", "id"])
+    before = old.select(
+        F.col("type").alias("_type"), F.col("id").alias("_id"), F.col("properties").alias("_properties"))
+    # The new nodes look up their old properties; the old table only meets the new keys.
+    known = latest.join(
+        before, F.col("type").eqNullSafe(F.col("_type")) & F.col("id").eqNullSafe(F.col("_id")), "left")
+    unset = F.map_filter(
+        F.coalesce("_properties", F.create_map().cast("map<string,string>")),
+        lambda name, _: ~F.map_contains_key(F.coalesce("properties", F.create_map().cast("map<string,string>")), name))
+    merged = known.withColumn(
+        "properties", F.map_concat(F.coalesce("properties", F.create_map().cast("map<string,string>")), unset))
+    return upsert(old, merged.select(*latest.columns), ["type", "id"])
 
 
 def upsert_edges(old: DataFrame, new: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Distinct edges whose two ends exist."""
+    """The old edges and those new ones that are not there yet and whose two ends exist."""
     keys = nodes.select("type", "id")
     sources = keys.withColumnsRenamed({"type": "src_type", "id": "src"})
     targets = keys.withColumnsRenamed({"type": "dst_type", "id": "dst"})
-    both = old.unionByName(new).distinct()
-    return both.join(sources, ["src_type", "src"], "left_semi").join(
-        targets, ["dst_type", "dst"], "left_semi").select(*EDGE_COLUMNS)
+    added = new.select(*EDGE_COLUMNS).distinct().join(old.select(*EDGE_COLUMNS), EDGE_COLUMNS, "left_anti")
+    return old.select(*EDGE_COLUMNS).unionByName(
+        added.join(sources, ["src_type", "src"], "left_semi").join(targets, ["dst_type", "dst"], "left_semi").select(*EDGE_COLUMNS))
 
 
 def step(edges: DataFrame, rel: str, near: str, far: str, backward: bool = False) -> DataFrame:

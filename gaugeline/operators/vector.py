@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.ml.feature import HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeline import fixed_values as fv
-from gaugeline.functions.text import words
+from gaugeline.functions.text import counted, let, words
 from gaugeline.operators.scale import top_rows
 
 # Queries shipped to the tasks at a time: 2,000 vectors of 3,072 doubles are 49 MB.
@@ -145,9 +143,15 @@ def embed_with(
 def embed_hashed(df: DataFrame, text_col: str = "text", dimension: int = 256) -> DataFrame:
     """Add ``embedding``: word counts hashed into ``dimension`` slots, unit length.
 
-    The default embedder, used where no model is given.
+    The slot of a word is the first 32 bits of its md5, modulo ``dimension``; a
+    text without words has all zeros. The default embedder, used where no model is given.
     """
-    counted = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dimension).transform(
-        df.withColumn("_words", words(F.col(text_col))))
-    unit = Normalizer(inputCol="_tf", outputCol="_unit", p=2.0).transform(counted)
-    return unit.withColumn("embedding", vector_to_array("_unit", "float32")).drop("_words", "_tf", "_unit")
+    slot = lambda w: F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("long") % dimension
+    places = F.sequence(F.lit(0).cast("long"), F.lit(dimension - 1).cast("long"))
+
+    def unit(counts: Column) -> Column:
+        length = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda total, c: total + c["tf"] * c["tf"]))
+        return let(F.struct(F.map_from_entries(counts).alias("tf"), length.alias("length")), lambda known: F.transform(
+            places, lambda i: F.coalesce(F.try_element_at(known["tf"], i) / known["length"], F.lit(0.0)).cast("float")))
+
+    return df.withColumn("embedding", let(counted(F.transform(words(F.col(text_col)), slot)), unit))

@@ -611,10 +611,11 @@ def embedding_store(spark, sf):
 
 @query
 def hashed_embed(spark, sf):
-    """Hashed word vectors of all chunks (no SQL: the hash is Spark's)."""
+    """Hashed word vectors of all chunks, one row for each slot that is not zero."""
     chunks = chunking.chunk_documents(adapt.documents(spark, sf).select("doc_id", "text"))
     embedded = vector.embed_hashed(chunks)
-    return embedded.select("chunk_id", "doc_id", vectors.vector_literal(F.col("embedding")).alias("embedding"))
+    return embedded.select("chunk_id", "doc_id", F.posexplode("embedding").alias("slot", "weight")).where("weight <> 0").select(
+        "chunk_id", "doc_id", F.col("slot").cast("long").alias("slot"), F.round(F.col("weight").cast("double"), 5).alias("weight"))
 
 
 @query

@@ -538,6 +538,11 @@ SOURCE_VECTORS = """source_vectors AS (
 sql("embedding_roundtrip", """
 SELECT row_id, source_id, len(embedding) AS dimension, true AS same, source_id AS meta_id, label AS meta_label
 FROM source_vectors""", SOURCE_VECTORS)
+sql("hashed_embed", """
+SELECT chunk_id, doc_id, slot, round((tf / sqrt(sum(tf * tf) OVER (PARTITION BY chunk_id, doc_id)))::FLOAT::DOUBLE, 5) AS weight
+FROM slots""", *DOC_CHUNKS, f"""slots AS (
+  SELECT chunk_id, doc_id, ('0x' || substr(md5(word), 1, 8))::BIGINT % 256 AS slot, count(*) AS tf
+  FROM (SELECT chunk_id, doc_id, unnest({tokens('text')}) AS word FROM chunks) GROUP BY ALL)""")
 sql("embedding_counts", """
 SELECT count(*) FILTER (WHERE source_type = 'indicator') AS n_indicators,
        count(*) FILTER (WHERE source_type = 'document') AS n_documents, count(DISTINCT source_id) AS n_sources

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -115,12 +116,20 @@ def reconcile(source: DataFrame, target: DataFrame) -> DataFrame:
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
     """Rows of ``old`` and ``new``, a new row replacing the old one of its key.
 
-    ``old`` has one row per key; ``order`` decides between several new rows of
-    one key. The old rows are only checked against the new keys: with few new
-    rows those are broadcast and the old table is neither moved nor sorted.
+    ``old`` has one row per key; ``order``, then the text of the whole row,
+    decides between several new rows of one key. A null in a key equals a null. The old
+    rows are only checked against the new keys: with few new rows those are
+    broadcast and the old table is neither moved nor sorted.
     """
-    latest = latest_rows(new, keys, order or [F.col(k) for k in keys])
-    return old.join(latest.select(*keys), keys, "left_anti").unionByName(latest)
+    latest = newest(new, keys, order)
+    asked = latest.select(*[F.col(key).alias(f"_new_{key}") for key in keys])
+    same = reduce(Column.__and__, [F.col(key).eqNullSafe(F.col(f"_new_{key}")) for key in keys])
+    return old.join(asked, same, "left_anti").unionByName(latest)
+
+
+def newest(new: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """One row of every key: the first in ``order``, ties by the text of the whole row."""
+    return latest_rows(new, keys, [*(order or []), F.to_json(F.struct(*new.columns))])
 
 
 def upsert_dataset(spark: SparkSession, path: str, new: DataFrame, keys: list[str],
@@ -130,7 +139,7 @@ def upsert_dataset(spark: SparkSession, path: str, new: DataFrame, keys: list[st
     The merged rows are written to the shared folder before the dataset is
     replaced, since it cannot be read and overwritten in one job.
     """
-    rows = materialize(latest_rows(new, keys, order or [F.col(k) for k in keys]), "new-rows")
+    rows = materialize(newest(new, keys, order), "new-rows")
     if path_exists(spark, path):
         rows = materialize(upsert(spark.read.parquet(path), rows, keys), "merged-rows")
     write_dataset(rows, path)

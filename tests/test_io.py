@@ -146,3 +146,12 @@ def test_recent_chat(spark):
         "session_id string, role string, content string, created_at timestamp")
     out = chat.recent_messages(messages).collect()
     assert [r["session_id"] for r in out] == ["s7", "s6", "s5", "s4", "s3"] and len(out[0]["content"]) == 50
+
+
+def test_upsert_without_order_is_determinate_and_null_safe(spark):
+    old = spark.createDataFrame([(None, 1), ("a", 1), ("b", 1)], "k string, v int")
+    rows = [(None, 5), ("a", 7), ("a", 3), ("a", 9)]
+    found = {
+        tuple(sorted(map(str, map(tuple, sinks.upsert(old, spark.createDataFrame(rows[n:] + rows[:n], "k string, v int").repartition(n + 1), ["k"]).collect()))))
+        for n in range(4)}
+    assert len(found) == 1 and len(found.pop()) == 3

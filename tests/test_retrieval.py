@@ -258,6 +258,9 @@ def test_upserts(spark, small_graph):
     merged = graph.upsert_nodes(nodes, new)
     assert merged.count() == nodes.count()
     assert merged.filter("id = 'VNM'").first()["name"] == "Viet Nam"
+    region = nodes.filter("id = 'VNM'").withColumn("properties", F.create_map(F.lit("region"), F.lit("Asia")))
+    kept = graph.upsert_nodes(nodes, region).filter("id = 'VNM'").first()["properties"]
+    assert kept == {**nodes.filter("id = 'VNM'").first()["properties"], "region": "Asia"}
     extra = spark.createDataFrame(
         [("Country", "THA", "HAS_INDICATOR", "Indicator", "I2"), ("Country", "THA", "HAS_INDICATOR", "Indicator", "I9"),
          ("Country", "VNM", "HAS_INDICATOR", "Indicator", "I1")],
