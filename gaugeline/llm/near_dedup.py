@@ -71,6 +71,10 @@ def sketch(shingle_set: np.ndarray, sketches: int, width: int) -> np.ndarray:
     return joined
 
 
+def set_signature(shingle_set: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    return mix(shingle_set).sum(dtype=np.uint64), mix(shingle_set ^ np.uint64(MULTIPLIER)).sum(dtype=np.uint64)
+
+
 def _signed(values) -> pa.Array:
     return pa.array(np.asarray(values, dtype=np.uint64).view(np.int64))
 
@@ -83,8 +87,8 @@ def sketch_documents(docs: DataFrame, size: int, sketches: int, width: int) -> D
             counts, one, two, flat = [], [], [], []
             for found in shingle_sets(batch.column(1), size):
                 counts.append(len(found))
-                one.append(mix(found).sum(dtype=np.uint64))
-                two.append(mix(found ^ np.uint64(MULTIPLIER)).sum(dtype=np.uint64))
+                for part, value in zip((one, two), set_signature(found), strict=True):
+                    part.append(value)
                 flat.append(sketch(found, sketches, width) if len(found) else np.zeros(0, np.uint64))
             places = np.concatenate(([0], np.cumsum([len(x) for x in flat]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -158,27 +162,32 @@ def prefix_pairs(members: DataFrame, texts: DataFrame, size: int, percent: int)
     ``members`` is (doc, root). Shingles are ordered from rare to frequent
     among the members. Two similar sets share a shingle among their rarest, and
     what stands before it in either set cannot be shared by both, so most pairs
-    are dropped inside the join, before a row is made. No similar pair is lost.
+    are dropped inside the join, before a row is made. No similar pair is lost,
+    also if rows of ``texts`` share a doc_id: each distinct set counts once.
     """
+    signature = ["sig_1", "sig_2", "n"]
 
     def run(batches):
         for batch in batches:
             sets = list(shingle_sets(batch.column(2), size))
             counts = [len(x) for x in sets]
+            one, two = zip(*map(set_signature, sets), strict=True) if sets else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(np.asarray(batch.column(0)), counts), pa.int64()),
                  pa.array(np.repeat(np.asarray(batch.column(1)), counts), pa.int64()),
+                 _signed(np.repeat(np.array(one, np.uint64), counts)), _signed(np.repeat(np.array(two, np.uint64), counts)),
                  pa.array(np.repeat(counts, counts), pa.int64()),
-                 _signed(np.concatenate(sets) if sets else [])], ["doc", "root", "n", "shingle"])
+                 _signed(np.concatenate(sets) if sets else [])], ["doc", "root", *signature, "shingle"])
 
     rows = materialize(
         members.join(texts.select(F.col("doc_id").alias("doc"), "text"), "doc")
-        .select("doc", "root", "text").mapInArrow(run, "doc bigint, root bigint, n bigint, shingle bigint"),
+        .select("doc", "root", "text")
+        .mapInArrow(run, "doc bigint, root bigint, sig_1 bigint, sig_2 bigint, n bigint, shingle bigint"),
         "near-shingles")
     often = rows.groupBy("shingle").agg(F.count("*").alias("often"))
-    # The sets are put in order inside the row of their document.
-    ordered = rows.join(often, "shingle").groupBy("doc", "root", "n").agg(
-        F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("all"))
+    # The sets are put in order inside the row of their document; a repeated row adds nothing to its set.
+    ordered = rows.join(often, "shingle").groupBy("doc", "root", *signature).agg(
+        F.array_sort(F.collect_set(F.struct("often", "shingle"))).alias("all"))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     placed = materialize(
         ordered.select("doc", "root", "n", F.posexplode(F.slice("all", F.lit(1), prefix.cast("int"))))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeline.llm.components import components
-from gaugeline.llm.near_dedup import keep_one, near_classes, sketches_for
+from gaugeline.llm.near_dedup import keep_one, near_classes, prefix_pairs, sketches_for
 from tests.llm.corpora import frame, odd_rows, plain_words, prose
 
 CAPITALS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -68,6 +68,27 @@ def test_classes_equal_brute_force(spark, size, percent):
         assert row["kept"] == (row["doc_id"] == row["component_id"])
 
 
+def test_repeated_rows_lose_no_pair(spark):
+    rows = []
+    for n in range(40):
+        words = [f"w{n}x{place}" for place in range(104)]
+        rows += [(2 * n, " ".join(words), "en", "a"), (2 * n + 1, " ".join([*words[8:], *(f"new{n}x{k}" for k in range(8))]), "en", "a")]
+    rows.append((0, prose(60, 104), "en", "a"))  # another text of the same length under a known id
+    members = spark.createDataFrame([(i, i) for i in range(80)], "doc bigint, root bigint")
+    wanted = {(2 * n + 1, 2 * n) for n in range(40)}
+    for repeats in (1, 2, 3):
+        texts = frame(spark, rows * repeats)
+        assert wanted <= {tuple(r) for r in prefix_pairs(members, texts, 5, 85).collect()}
+
+
+def test_classes_of_repeated_rows_equal_brute_force(spark):
+    rows = family_rows()
+    expected = brute_force(rows, 5, 80)
+    found = near_classes(frame(spark, rows * 2, 5)).collect()
+    assert len(found) == 2 * len(rows)
+    assert all((r["n_shingles"], r["component_id"]) == expected[r["doc_id"]] for r in found)
+
+
 def test_null_ids_are_left_alone(spark):
     rows = [r for r in near_classes(frame(spark, odd_rows())).collect() if r["doc_id"] is None]
     assert len(rows) == 2
