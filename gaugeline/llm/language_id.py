@@ -234,10 +234,10 @@ def language_report(docs: DataFrame) -> DataFrame:
 def keep_known(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The documents whose text has a language of which the model is sure enough; columns as given.
 
-    Without a language to learn from, none is known and none is kept.
+    Without a language to learn from, every document whose text has a letter is kept.
     """
     model = fit(docs.where(~held_out(F.col("doc_id"), 3, 1)))
     if model is None:
-        return docs.limit(0)
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     sure = (F.col("__lang_pred") != UNDETERMINED) & (F.col("__score") >= min_score)
     return _guessed(docs, model).where(sure).drop("__lang_pred", "__score")

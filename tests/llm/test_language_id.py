@@ -100,3 +100,13 @@ def test_keep_known_and_empty(spark):
     unlabelled = frame(spark, [(1, "text", None, "a")])
     assert [r["lang_pred"] for r in language_report(unlabelled).collect()] == ["und"]
     assert identify(docs.withColumnRenamed("kept", "score"), None).columns[-2:] == ["lang_pred", "score"]
+
+
+def test_keep_known_without_a_language_keeps_texts_with_letters(spark):
+    rows = [(i, text, None, source) for i, text, _, source in odd_rows()]
+    kept = keep_known(frame(spark, rows))
+    assert kept.columns == frame(spark, rows).columns
+    assert sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(
+        str(i) for i, text, *_ in rows if any(c.isalpha() for c in text or ""))
+    held_out = [n for n in range(30) if zlib.crc32(str(n).encode()) % 3 == 1]
+    assert keep_known(frame(spark, [(n, prose(n, 20), "en", "a") for n in held_out])).count() == len(held_out)
