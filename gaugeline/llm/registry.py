@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import hosts, importance, language_id, mixing, packing, quality, syncmers, token_files, toxicity
+from gaugeline.llm import (
+    hosts, importance, language_id, merkle, mixing, packing, quality, shards, syncmers, token_files, toxicity, whitening,
+)
 from gaugeline.llm.near_dedup import near_classes
 
 
@@ -57,6 +59,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op11_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_report(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_importance_resampling": op2_importance_resampling,
@@ -68,10 +82,15 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_syncmer_fingerprints": op9_syncmer_fingerprints,
     "op10_quality_rules": op10_quality_rules,
+    "op11_rendezvous_shards": op11_rendezvous_shards,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLE = {
     "op7_url_filter": hosts.SQL,
     "op3_source_mix": mixing.SQL,
     "op10_quality_rules": quality.SQL,
+    "op11_rendezvous_shards": shards.SQL,
+    "op12_merkle_manifest": merkle.SQL,
 }
