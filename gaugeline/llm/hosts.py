@@ -174,9 +174,9 @@ WITH cut AS (
 ), posterior AS (
   SELECT host, k + mean * round(raw, 6) AS a, n - k + (1 - mean) * round(raw, 6) AS b FROM units, host_prior
 ), bounds AS (
-  SELECT host, a / (a + b) + {BOUND} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) >= {MIN_GOOD} AS good FROM posterior
+  SELECT host, round(least(a / (a + b) + {BOUND} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))), 1.0), 9) AS good_upper FROM posterior
 ), ruled AS (
-  SELECT p.*, good,
+  SELECT p.*, good_upper,
          CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'
               WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
               WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/'
@@ -186,6 +186,6 @@ WITH cut AS (
 )
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-            WHEN coalesce(good, false) THEN 'allow' ELSE 'block' END AS verdict
+            WHEN coalesce(good_upper >= {MIN_GOOD}, false) THEN 'allow' ELSE 'block' END AS verdict, good_upper
 FROM ruled
 """

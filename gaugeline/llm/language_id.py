@@ -5,9 +5,10 @@ Each language has a byte context tree of variable order: contexts of up to
 seen there gets its count over ``total + distinct`` and the escape gets
 ``distinct`` (method C); escaped bytes share it as the next shorter context
 predicts them, seen bytes excluded. With the counts frozen after training, the
-code length of a byte depends on its longest kept context only, so the trees of
-all languages are one table (context, byte) -> bits per language, and a text
-costs one look-up per byte.
+bits of a byte seen in its context are fixed, and those of any other byte are the context's
+escape bits and its bits in the next shorter context. The trees of all
+languages are kept as one sparse table for each order, of the (context, byte) pairs and
+contexts that any language has; all contexts that were learned are in it.
 """
 
 from __future__ import annotations
@@ -22,28 +23,68 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeline.llm.batches import text_slices
-from gaugeline.llm.sampling import hash_sample
+from gaugeline.llm.batches import MULTIPLIER, text_slices
+from gaugeline.llm.sampling import hash_sample, one_text
 from gaugeline.session import materialize
 
 ORDER = 3
 DOCS_A_LANGUAGE = 400  # training texts of each language, whole, chosen by hash
-MAX_CONTEXTS = 6000  # the most frequent contexts of full order that are kept
 MIN_SCORE = 0.5
 UNDETERMINED = "und"
 BYTES_AT_ONCE = 1 << 18
 
 
+class Places:
+    """Places of sorted keys, found by hashing; a key that is not there has the place -1."""
+
+    def __init__(self, keys: np.ndarray):
+        self.shift = np.uint64(64 - max(3, int(4 * len(keys)).bit_length()))
+        size = 1 << (64 - int(self.shift))
+        self.keys = np.full(size, -1, dtype=np.int64)
+        self.places = np.full(size, -1, dtype=np.int32)
+        waiting, slots = np.arange(len(keys)), self._slots(keys)
+        while len(waiting):
+            free = self.keys[slots] == -1
+            _, first = np.unique(slots[free], return_index=True)
+            chosen = np.flatnonzero(free)[first]  # one key for every free slot
+            self.keys[slots[chosen]] = keys[waiting[chosen]]
+            self.places[slots[chosen]] = waiting[chosen]
+            left = np.ones(len(waiting), dtype=bool)
+            left[chosen] = False
+            waiting, slots = waiting[left], slots[left]
+            slots = np.where(self.keys[slots] == -1, slots, (slots + 1) & (size - 1))
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(MULTIPLIER)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        slots = self._slots(keys)
+        held = self.keys[slots]
+        found = np.where(held == keys, self.places[slots], -1)
+        going = np.flatnonzero((held != keys) & (held != -1))
+        slots = slots[going]
+        while len(going):
+            slots = (slots + 1) & (len(self.keys) - 1)
+            held, wanted = self.keys[slots], keys[going]
+            found[going] = np.where(held == wanted, self.places[slots], -1)
+            on = (held != wanted) & (held != -1)
+            going, slots = going[on], slots[on]
+        return found
+
+
 @dataclass
 class Model:
-    """``classes`` maps a byte to its class, ``states`` three classes to a context, ``bits`` a context and byte class to bits."""
+    """By order from 1: the pairs (context and byte packed) and contexts known, with bits by language.
+
+    ``first`` has the bits of all 256 bytes without a context.
+    """
 
     languages: list[str]
-    classes: np.ndarray
-    n_classes: int
-    blank: int
-    states: np.ndarray
-    bits: np.ndarray
+    first: np.ndarray
+    pairs: list[Places]
+    pair_bits: list[np.ndarray]
+    contexts: list[Places]
+    escape_bits: list[np.ndarray]
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
@@ -52,13 +93,14 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
 
 
 def training_texts(docs: DataFrame, per_language: int) -> DataFrame:
-    """(lang, text) of ``per_language`` documents of each language, chosen by a hash of the id.
+    """(lang, text) of ``per_language`` documents of each language at most, chosen by a hash of the id.
 
-    Ids are chosen first, so that only chosen texts are moved.
+    Ids are chosen first, so that only chosen texts are moved; of an id that repeats one text counts.
     """
     narrow = docs.where("lang is not null and text is not null and doc_id is not null").select("doc_id", "lang").distinct()
     chosen = materialize(hash_sample(narrow, "lang", per_language).select("doc_id", "lang"), "language-sample")
-    return docs.where("text is not null").select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
+    texts = docs.where("text is not null").select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi")
+    return one_text(texts, "lang").select("lang", "text")
 
 
 def context_counts(texts: DataFrame, order: int) -> DataFrame:
@@ -88,105 +130,92 @@ def context_counts(texts: DataFrame, order: int) -> DataFrame:
         "lang", "length", "code").agg(F.sum("n").alias("n"))
 
 
-def _predict(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-    """Byte probabilities in contexts (rows), given those of the contexts one byte shorter."""
-    total = counts.sum(axis=1, keepdims=True)
-    distinct = (counts > 0).sum(axis=1, keepdims=True)
-    unseen = np.where(counts > 0, 0.0, shorter)
-    left = unseen.sum(axis=1, keepdims=True)
-    escape = np.where(left > 0, distinct, 0)  # nothing left to escape to
-    seen = counts / np.maximum(total + escape, 1)
-    rest = np.divide(unseen, left, out=np.zeros_like(unseen), where=left > 0) * escape / np.maximum(total + escape, 1)
-    return np.where(total > 0, seen + rest, shorter)
-
-
-def fit(docs: DataFrame, per_language: int = DOCS_A_LANGUAGE, order: int = ORDER, max_contexts: int = MAX_CONTEXTS) -> Model | None:
+def fit(docs: DataFrame, per_language: int = DOCS_A_LANGUAGE, order: int = ORDER) -> Model | None:
     """The model of the languages of ``docs`` (doc_id, text, lang), or None if there are none.
 
     What reaches the driver is bounded by the sample (``per_language`` texts of
-    each language): its distinct contexts, and of full order only the
-    ``max_contexts`` most frequent.
+    each language): its distinct contexts and the bytes that followed, all of them.
     """
-    if order != 3:
-        raise ValueError("the context table is made for contexts of three bytes")
-    counts = materialize(context_counts(training_texts(docs, per_language), order), "language-contexts")
-    full = counts.where(F.col("length") == order)
-    kept = (
-        full.groupBy(F.shiftright("code", 8).alias("context")).agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "context").limit(max_contexts))
-    rows = counts.where(F.col("length") < order).unionByName(
-        full.withColumn("context", F.shiftright("code", 8)).join(kept.select("context"), "context", "left_semi").select(counts.columns)).toPandas()
+    if not 1 <= order <= 6:
+        raise ValueError("a context has one to six bytes")
+    rows = materialize(context_counts(training_texts(docs, per_language), order), "language-contexts").toPandas()
     languages = sorted(rows["lang"].unique())
     if not languages:
         return None
-    seen = sorted(set(rows.loc[rows["length"] == 0, "code"]) | {32})
-    classes = np.full(256, len(seen), dtype=np.int64)  # bytes never seen share the last class
-    classes[seen] = np.arange(len(seen))
-    size = len(seen) + 1
-    other = 256 - len(seen)
-
-    tables = []  # by order: contexts as rows, byte classes as columns, languages as planes
-    contexts = np.zeros(1, dtype=np.int64)
-    places = {0: {0: 0}}
+    first, pairs, pair_bits, contexts, escape_bits = np.zeros((256, len(languages))), [], [], [], []
+    shorter: list[tuple[np.ndarray, np.ndarray]] = []  # by language: codes and probabilities one order down
     for length in range(order + 1):
         part = rows[rows["length"] == length]
-        if length:
-            contexts = np.unique(part["code"].to_numpy() >> 8)
-            places[length] = {int(c): i for i, c in enumerate(contexts)}
-        table = np.zeros((len(languages), len(contexts), size))
+        codes, known = np.unique(part["code"].to_numpy()), np.unique(part["code"].to_numpy() >> 8)
+        seen, escapes = np.full((len(codes), len(languages)), np.nan), np.zeros((len(known), len(languages)))
+        before, shorter = shorter, []
         for plane, language in enumerate(languages):
-            own = part[part["lang"] == language]
-            code = own["code"].to_numpy()
-            row = np.searchsorted(contexts, code >> 8) if length else np.zeros(len(own), np.int64)
-            counted = np.zeros((len(contexts), size))
-            np.add.at(counted, (row, classes[code & 255]), own["n"].to_numpy())
-            if length == 0:
-                shorter = np.full((1, size), 1 / 256)
-                shorter[0, -1] = other / 256
-            else:
-                parents = [places[length - 1].get(int(c) & ((1 << 8 * (length - 1)) - 1), 0) for c in contexts]
-                shorter = tables[-1][plane][parents]
-            table[plane] = _predict(counted, shorter)
-        tables.append(table)
-
-    # Every triple of classes points to its longest kept context.
-    offset, states = 0, np.zeros((size, size, size), dtype=np.int32)
-    for length, table in enumerate(tables):
-        for context, row in places[length].items():
-            last = classes[[(context >> (8 * i)) & 255 for i in range(length)]] if length else []
-            # The class before the byte comes last; earlier ones stand for any.
-            index = tuple([slice(None)] * (order - length) + [int(c) for c in last[::-1]])
-            states[index] = offset + row
-        offset += table.shape[1]
-    probability = np.concatenate([t.transpose(1, 2, 0) for t in tables])
-    if other:
-        probability[:, -1] /= other
-    bits = -np.log2(np.maximum(probability, 1e-12))
-    return Model(languages, classes, size, int(classes[32]), states.ravel(), bits.reshape(-1, len(languages)).astype(np.float32))
+            own = part[part["lang"] == language].sort_values("code")
+            code, count = own["code"].to_numpy(), own["n"].to_numpy().astype(np.float64)
+            # What the shorter context says of the bytes seen here; without a context all bytes are alike.
+            below = np.full(len(code), 1 / 256) if not length else before[plane][1][
+                np.searchsorted(before[plane][0], code & ((1 << 8 * length) - 1))]
+            starts = np.flatnonzero(np.diff(code >> 8, prepend=-1))
+            total, taken = np.add.reduceat(count, starts), np.add.reduceat(below, starts)
+            distinct = np.diff(np.append(starts, len(code)))
+            rest = np.where(distinct < 256, np.maximum(1 - taken, 1e-12), 0.0)
+            escape = np.where(rest > 0, distinct, 0)  # nothing left to escape to
+            probability = count / np.repeat(total + escape, distinct)
+            shorter.append((code, probability))
+            seen[np.searchsorted(codes, code), plane] = -np.log2(probability)
+            share = np.divide(escape, (total + escape) * rest, out=np.full(len(starts), 1e-12), where=rest > 0)
+            escapes[np.searchsorted(known, code[starts] >> 8), plane] = -np.log2(share)
+        if length == 0:
+            first[:] = escapes + 8.0
+            first[codes] = np.where(np.isnan(seen), first[codes], seen)
+            continue
+        down = codes & ((1 << 8 * length) - 1)
+        # Every pair is there one order down too, as some language has it there.
+        longer = first[down] if length == 1 else pair_bits[-1][pairs[-1].find(down)]
+        bits = np.where(np.isnan(seen), escapes[np.searchsorted(known, codes >> 8)] + longer, seen)
+        pairs.append(Places(codes))
+        contexts.append(Places(known))
+        pair_bits.append(bits)
+        escape_bits.append(escapes)
+    return Model(languages, first, pairs, [bits.astype(np.float32) for bits in pair_bits], contexts,
+                 [bits.astype(np.float32) for bits in escape_bits])
+
+
+def _byte_bits(model: Model, codes: np.ndarray) -> np.ndarray:
+    """Bits of bytes by language; ``codes`` holds each byte and the bytes before it, as in the tables."""
+    bits = np.zeros((len(codes), len(model.languages)))
+    left, order = np.arange(len(codes)), len(model.pairs)
+    for length in range(order, 0, -1):
+        code = codes[left] & ((1 << 8 * (length + 1)) - 1)
+        place = model.pairs[length - 1].find(code)
+        hit = place >= 0
+        bits[left[hit]] += model.pair_bits[length - 1][place[hit]]
+        left, code = left[~hit], code[~hit]
+        context = model.contexts[length - 1].find(code >> 8)
+        known = context >= 0
+        bits[left[known]] += model.escape_bits[length - 1][context[known]]
+    bits[left] += model.first[codes[left] & 255]
+    return bits
 
 
 def code_lengths(model: Model, column: pa.Array) -> np.ndarray:
-    """Bits of every text under every language's tree."""
+    """Bits of every text under every language's tree. Long texts are scored in parts of ``BYTES_AT_ONCE``."""
     result = np.zeros((len(column), len(model.languages)))
-    for first, end, data, starts in text_slices(column):
+    order = len(model.pairs)
+    for first, _, data, starts in text_slices(column):
         for low in range(0, len(data), BYTES_AT_ONCE):
             high = min(low + BYTES_AT_ONCE, len(data))
-            back = max(low - 3, 0)
-            symbol = model.classes[data[back:high]]
-            own = low - back
             row = np.searchsorted(starts, np.arange(low, high), "right") - 1
             depth = np.arange(low, high) - starts[row]
-            context = np.zeros(high - low, dtype=np.int64)
-            for distance in (3, 2, 1):
-                before = np.full(high - low, model.blank, dtype=np.int64)
-                shifted = symbol[max(own - distance, 0):len(symbol) - distance]
-                if len(shifted):
-                    before[high - low - len(shifted):] = shifted
-                before[depth < distance] = model.blank
-                context = context * model.n_classes + before
-            cell = model.states[context].astype(np.int64) * model.n_classes + symbol[own:]
+            code = data[low:high].astype(np.int64)
+            for distance in range(1, order + 1):
+                before = np.full(high - low, 32, dtype=np.int64)  # bytes before a text count as spaces
+                start = max(low - distance, 0)
+                before[start + distance - low:] = data[start:high - distance]
+                before[depth < distance] = 32
+                code |= before << (8 * distance)
             cuts = np.flatnonzero(np.diff(row, prepend=-1))
-            result[first + row[cuts]] += np.add.reduceat(model.bits[cell].astype(np.float64), cuts, axis=0)
+            result[first + row[cuts]] += np.add.reduceat(_byte_bits(model, code), cuts, axis=0)
     return result
 
 
@@ -225,7 +254,11 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def language_report(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every document; learned where held_out is false."""
+    """doc_id, held_out, lang_pred, score of every document; learned where held_out is false.
+
+    Rows that share an id are judged one by one; a null id is not held out and
+    teaches nothing. Extra columns are not read; an empty table gives an empty result.
+    """
     out = held_out(F.col("doc_id"), 3, 1)
     model = fit(docs.where(~out))
     return identify(docs.select("doc_id", out.alias("held_out"), "text"), model).drop("text")
@@ -234,7 +267,7 @@ def language_report(docs: DataFrame) -> DataFrame:
 def keep_known(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The documents whose text has a language of which the model is sure enough; columns as given.
 
-    Without a language to learn from, every document whose text has a letter is kept.
+    Null and empty texts go; rows that repeat are judged one by one; an empty table stays empty. Without a language to learn from, every document whose text has a letter is kept.
     """
     model = fit(docs.where(~held_out(F.col("doc_id"), 3, 1)))
     if model is None:

@@ -191,11 +191,20 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that no rule rejects, with the columns of ``docs``. A null text is rejected."""
+    """The documents that no rule rejects, with the columns of ``docs``.
+
+    A null text is rejected; rows that repeat are judged one by one; an empty
+    table stays empty. The words of a text are listed once, around the rules.
+    """
     text = F.col("text")
-    rules = standard_rules(text, counts(text, word_list(text)))
-    ordered = order_rules(docs.select(F.coalesce("text", F.lit("")).alias("text")), rules)
-    return docs.where(cascade([Rule("null_text", text.isNull()), *ordered]).isNull())
+    ordered = order_rules(
+        docs.select(F.coalesce("text", F.lit("")).alias("text")), standard_rules(text, counts(text, word_list(text))))
+
+    def rejected(words: Column) -> Column:
+        rules = {rule.name: rule for rule in standard_rules(text, counts(text, words))}
+        return cascade([rules[rule.name] for rule in ordered])
+
+    return docs.where(text.isNotNull() & let(word_list(text), rejected).isNull())
 
 
 SQL = r"""

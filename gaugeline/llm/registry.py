@@ -44,7 +44,7 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The outcome of a page is the quality label of the same number."""
     outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
-    return hosts.judge(table(spark, sf_dir, "pages"), outcomes).select("page_id", "host", "path", "rule", "verdict")
+    return hosts.judge(table(spark, sf_dir, "pages"), outcomes)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

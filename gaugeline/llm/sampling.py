@@ -12,7 +12,7 @@ SPARE = 2.0
 
 
 def hash_sample(ids: DataFrame, key: str, most: dict | int) -> DataFrame:
-    """At most ``most`` rows (by value of ``key``, or the same for all) of (doc_id, key).
+    """At most ``most`` rows (by value of ``key``, or the same for all) of (doc_id, key), which must be distinct.
 
     The rows are those with the smallest hashes of the id. A first threshold
     from the number of rows of each key lets about ``SPARE`` times as many
@@ -25,3 +25,12 @@ def hash_sample(ids: DataFrame, key: str, most: dict | int) -> DataFrame:
     largest = most if isinstance(most, int) else max(most.values())
     order = [F.shiftrightunsigned(F.xxhash64("doc_id"), 11), F.col("doc_id")]
     return top_rows(few, [key], order, largest, "__place").where(F.col("__place") <= limit).drop("__place")
+
+
+def one_text(texts: DataFrame, key: str) -> DataFrame:
+    """(doc_id, key, text): of the rows (doc_id, key, text) of one id and key the text with the smallest hash.
+
+    With ids from ``hash_sample`` this bounds the rows, not only the ids. An
+    id that repeats sends on one text from each map task.
+    """
+    return texts.groupBy("doc_id", key).agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))

@@ -3,7 +3,8 @@
 A pre-token of either tokenizer never goes on past a space that a non-space
 follows, so a text's ids are those of the pieces cut before such spaces, one
 after another. Each worker keeps the ids of pieces it has met, up to a bound;
-beyond it further pieces are encoded anew, with the same result.
+beyond it further pieces are encoded anew, with the same result. A text that
+may hold one of the tokenizer's added tokens goes through the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -91,7 +92,9 @@ class Encoder:
     def __init__(self, path: str, spaces_count: bool):
         """``spaces_count``: whether a space belongs to the word after it (byte-level) or is dropped."""
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # What every text with an added token contains: the beginning of one, in any case.
+        self.marks = {regex.match(r"\P{L}*", token.content)[0] for token in tokenizer.get_added_tokens_decoder().values()}
+        self.tokenizer = tokenizer
         self.spaces_count = spaces_count
         if spaces_count:
             self.after_space = Pieces(tokenizer, " ", False, BYTE_PATTERN)
@@ -100,6 +103,9 @@ class Encoder:
             self.after_space = Pieces(tokenizer, "", True, WORD_PATTERN)
 
     def encode(self, text: str) -> bytes:
+        for mark in self.marks:
+            if mark in text:
+                return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         if not self.spaces_count:
             return b"".join(map(self.after_space.__getitem__, text.replace("\n", " ").split(" ")))
         pieces = SAFE_CUT.split(text) if UNSAFE_SPACE.search(text) else text.split(" ")

@@ -4,8 +4,9 @@ Confirmed toxic texts are the positive sample; texts taken without regard to
 any label are the unlabelled one. With the class prior ``p``, the risk of calling
 clean texts toxic is that of the unlabelled sample less ``p`` times that of the
 positives; where this estimate turns negative, it is not followed further down.
-The classifier is linear over the words and word beginnings that positives have
-more often than the unlabelled.
+The prior itself is estimated from the two samples only. The classifier is
+linear over all words and word beginnings that positives have more often than
+the unlabelled, by a test of their shares.
 """
 
 from __future__ import annotations
@@ -20,16 +21,14 @@ from pyspark.sql import functions as F
 
 from gaugeline.llm.batches import LOWER, SEED, text_slices, words
 from gaugeline.llm.language_id import held_out
-from gaugeline.llm.sampling import hash_sample
+from gaugeline.llm.sampling import hash_sample, one_text
 from gaugeline.session import materialize
 
 MAX_POSITIVE = 4000  # texts of each sample, whole, chosen by a hash of the id
 MAX_UNLABELLED = 8000
 BUCKETS = 1 << 20
 PREFIXES = (None, 4, 5, 6)  # whole words, and their first bytes
-MAX_FEATURES = 4096
-LEAST_TEXTS = 3
-LEAST_Z = 3.0
+LEAST_Z = 3.0  # standard errors by which a feature's share among positives is above that among the unlabelled
 STEPS = 1000
 RATE = 0.2
 DECAY = 1e-5
@@ -64,14 +63,18 @@ def features(data: np.ndarray, starts: np.ndarray, wanted: np.ndarray | None = N
 
 
 def samples(docs: DataFrame, labels: DataFrame, max_positive: int, max_unlabelled: int) -> DataFrame:
-    """(kind, text): 1 for confirmed toxic, 0 for unlabelled texts. A text may be in both, as unlabelled texts include toxic ones."""
+    """(kind, text): 1 for confirmed toxic, 0 for unlabelled texts, so many rows at most.
+
+    A text may be in both, as unlabelled texts include toxic ones; of an id that repeats one text counts.
+    """
     ids = docs.where("text is not null and doc_id is not null").select("doc_id").distinct()
     toxic = labels.where("toxic = 1").select("doc_id").distinct()
     pool = ids.select(F.lit(0).alias("kind"), "doc_id").unionByName(
         ids.join(toxic, "doc_id", "left_semi").select(F.lit(1).alias("kind"), "doc_id"))
     chosen = hash_sample(pool, "kind", {1: max_positive, 0: max_unlabelled})
-    return docs.where("text is not null").select("doc_id", "text").join(
-        materialize(chosen.select("kind", "doc_id"), "toxicity-sample"), "doc_id").select("kind", "text")
+    texts = docs.where("text is not null").select("doc_id", "text").join(
+        materialize(chosen.select("kind", "doc_id"), "toxicity-sample"), "doc_id")
+    return one_text(texts, "kind").select("kind", "text")
 
 
 def _counted(sample: DataFrame) -> DataFrame:
@@ -113,8 +116,40 @@ def _rows(sample: DataFrame, chosen: np.ndarray) -> DataFrame:
     return sample.mapInArrow(run, "kind int, own array<int>")
 
 
+def estimate_prior(kind: np.ndarray, row: np.ndarray, column: np.ndarray, width: int) -> float:
+    """The share of positives among the unlabelled, from the two samples alone.
+
+    Whatever positives hold, the unlabelled hold at least ``p`` times as often,
+    so no set of texts has a smaller ratio of its share among the unlabelled to that
+    among positives than ``p``. The sets tried are the texts above each level of
+    a naive Bayes score. Scores come from one half of the texts and shares from
+    the other, both ways; a share counts with one standard error, so that small sets do not decide.
+    """
+    half = np.arange(len(kind)) % 2
+    found = []
+    for own in (0, 1):
+        train, test = half == own, half != own
+        counts = [np.bincount(column[(train & (kind == k))[row]], minlength=width) + 0.5 for k in (0, 1)]
+        sizes = [max((train & (kind == k)).sum(), 1) + 1 for k in (0, 1)]
+        weight = np.log(counts[1] / sizes[1]) - np.log(counts[0] / sizes[0])
+        score = np.bincount(row, weights=weight[column], minlength=len(kind))
+        levels = np.unique(score[test & (kind == 1)])
+        above = [len(x) - np.searchsorted(x, levels, "left") for x in (np.sort(score[test & (kind == k)]) for k in (0, 1))]
+        n = [max((test & (kind == k)).sum(), 1) for k in (0, 1)]
+        shares = [above[k] / n[k] for k in (0, 1)]
+        errors = [np.sqrt(np.maximum(shares[k] * (1 - shares[k]), 1 / n[k]) / n[k]) for k in (0, 1)]
+        low = shares[1] - errors[1]
+        ratios = (shares[0] + errors[0])[low > 0] / low[low > 0]
+        found.append(ratios.min() if len(ratios) else 1.0)
+    return float(min(max(np.mean(found), 0.001), 0.5))
+
+
 def _train(kind: np.ndarray, row: np.ndarray, column: np.ndarray, width: int, prior: float) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative PU risk (logistic loss) with Adam."""
+    """Weights and bias that minimise the non-negative PU risk (logistic loss) with Adam.
+
+    All features speak for toxicity, so a text without any is no likelier toxic
+    than a text of which nothing is known: the bias is at most the prior's logit.
+    """
     rows = len(kind)
     positive = kind == 1
     share_p = np.where(positive, 1 / max(positive.sum(), 1), 0.0)
@@ -135,7 +170,6 @@ def _train(kind: np.ndarray, row: np.ndarray, column: np.ndarray, width: int, pr
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.999 * square + 0.001 * gradient**2
         theta -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
-        # A text without any feature of toxic texts is no likelier toxic than any text.
         theta[-1] = min(theta[-1], np.log(prior / (1 - prior)))
     return theta[:-1], float(theta[-1])
 
@@ -146,29 +180,27 @@ def fit(
 ) -> Model | None:
     """The classifier, or None without a toxic text.
 
-    ``prior`` is the share of toxic texts, by default that among the rows of ``labels`` (doc_id,
-    toxic). The driver gets ``MAX_FEATURES`` counts and, for each sampled text, which of those features it has.
+    ``prior`` is the share of toxic texts; by default it is estimated from the two samples. The driver gets, for each
+    sampled text, which of the features that pass the test it has.
     """
     sample = materialize(samples(docs, labels, max_positive, max_unlabelled), "toxicity-texts")
     sizes = {row["kind"]: row["count"] for row in sample.groupBy("kind").count().collect()}
     if not sizes.get(1):
         return None
-    if prior is None:
-        share = labels.where("toxic is not null").agg(F.avg((F.col("toxic") == 1).cast("double")).alias("p")).collect()[0]["p"]
-        prior = min(max(share, 0.001), 0.5)
     p = (F.col("positive") + 0.5) / (sizes[1] + 1)
     u = (F.col("unlabelled") + 0.5) / (sizes.get(0, 0) + 1)
     z = (p - u) / F.sqrt(p * (1 - p) / (sizes[1] + 1) + u * (1 - u) / (sizes.get(0, 0) + 1))
-    best = (
-        _counted(sample).where(F.col("positive") >= LEAST_TEXTS).withColumn("z", z).where(F.col("z") > LEAST_Z)
-        .orderBy(F.desc("z"), "bucket").limit(MAX_FEATURES).select("bucket").collect())
+    best = _counted(sample).where(z > LEAST_Z).select("bucket").collect()
     chosen = np.sort(np.array([row["bucket"] for row in best], dtype=np.int64))
     weights = np.zeros(BUCKETS, dtype=np.float32)
     rows = _rows(sample, chosen).orderBy("kind", "own").toPandas()
+    kind = rows["kind"].to_numpy()
     counts = rows["own"].map(len).to_numpy()
+    row = np.repeat(np.arange(len(rows)), counts)
     column = np.concatenate([np.asarray(x, dtype=np.int64) for x in rows["own"]] or [np.zeros(0, np.int64)])
-    learned, bias = _train(
-        rows["kind"].to_numpy(), np.repeat(np.arange(len(rows)), counts), column, len(chosen), prior)
+    if prior is None:
+        prior = estimate_prior(kind, row, column, len(chosen))
+    learned, bias = _train(kind, row, column, len(chosen), prior)
     weights[chosen] = learned
     return Model(weights, bias)
 
@@ -201,7 +233,9 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every document; learned where held_out is false.
 
-    Rows that share a doc_id are scored one by one; null labels teach nothing. Extra columns are not read.
+    Rows that share a doc_id are scored one by one; null labels teach nothing,
+    and an id that any row labels 1 is toxic. Extra columns are not read; an
+    empty table gives an empty result.
     """
     out = held_out(F.col("doc_id"), 5, 0)
     model = fit(docs.where(~out), labels.where(~out))

@@ -1,5 +1,9 @@
+import random
+from collections import Counter
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from gaugeline.llm import hosts
 from gaugeline.llm.hosts import judge, levels, reputations, url_parts
@@ -70,5 +74,25 @@ def test_rows_equal_sql(spark, sf):
     for name in ("pages", "labels"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{TABLES}/{name}.parquet'")
     outcomes = spark.read.parquet(f"{TABLES}/labels.parquet").selectExpr("doc_id AS page_id", "quality AS good")
-    found = judge(spark.read.parquet(f"{TABLES}/pages.parquet"), outcomes).drop("good_upper").collect()
+    found = judge(spark.read.parquet(f"{TABLES}/pages.parquet"), outcomes).collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, con.execute(hosts.SQL).fetchall()))
+
+
+def test_rows_equal_sql_where_hosts_are_blocked(spark):
+    """Hosts of every quality, clashing column names, null ids and several outcomes of one page."""
+    chance = random.Random(4)
+    pages = [(n, f"http://h{n % 40}.d{n % 9}.{('net', 'de', 'co.uk')[n % 3]}/{n}") for n in range(1500)] + [
+        (None, "http://h1.d1.net/x"), (None, None), (7, "http://h0.d0.net/again"), (8, "x")]
+    labels = [(n, int(chance.random() < (n % 40) / 40)) for n in range(1500) if n % 4] + [(3, 0), (3, 1), (None, 1), (9, None)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages(page_id BIGINT, url VARCHAR)")
+    con.execute("CREATE TABLE labels(doc_id BIGINT, quality INTEGER)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", pages)
+    con.executemany("INSERT INTO labels VALUES (?, ?)", labels)
+    named = spark.createDataFrame(
+        [(*row, "h", "p", "r", "v", 1, 2, 3.0) for row in pages],
+        "page_id bigint, url string, host string, path string, rule string, verdict string, k int, n int, good_upper double")
+    found = judge(named, spark.createDataFrame(labels, "page_id bigint, good int").withColumn("host", F.lit("x"))).collect()
     assert sorted(map(str, map(tuple, found))) == sorted(map(str, con.execute(hosts.SQL).fetchall()))
+    verdicts = Counter(r["verdict"] for r in found)
+    assert verdicts["block"] > 300 and verdicts["allow"] > 300

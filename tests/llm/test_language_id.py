@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from gaugeline.llm.language_id import code_lengths, fit, identify, keep_known, language_report
+from gaugeline.llm.language_id import Places, code_lengths, fit, identify, keep_known, language_report, training_texts
 from tests.llm.corpora import TABLES, frame, odd_rows, prose
 
 LANGS = ("en", "de", "fr")
@@ -51,13 +51,67 @@ def exact_bits(texts, symbols, text, order=3):
 
 def test_code_lengths_equal_the_definition(spark):
     rows = [(1, "abab aba", "x", "a"), (2, "bcb cbcb", "y", "a")]
-    model = fit(frame(spark, rows), max_contexts=10_000)
+    model = fit(frame(spark, rows))
     for text in ("aba", "cab", "b q a", "ab" * 6):
         found = code_lengths(model, pa.array([text]))[0]
         for place, (_, learned, *_rest) in enumerate(rows):
             assert found[place] == pytest.approx(exact_bits([learned], 256, text), rel=1e-4)
 
 
+def tree_bits(texts, text, order):
+    """Code length by the definition, each context's distribution over all 256 bytes in turn."""
+    counts = defaultdict(Counter)
+    for one in texts:
+        data = b" " * order + one.encode()
+        for at in range(order, len(data)):
+            for length in range(order + 1):
+                counts[data[at - length:at]][data[at]] += 1
+
+    @cache
+    def distribution(context):
+        shorter = distribution(context[1:]) if context else np.full(256, 1 / 256)
+        if context not in counts:
+            return shorter
+        seen = np.zeros(256)
+        for symbol, n in counts[context].items():
+            seen[symbol] = n
+        rest = np.where(seen > 0, 0.0, shorter)
+        escape = (seen > 0).sum() if rest.sum() > 0 else 0
+        return (seen + escape * rest / max(rest.sum(), 1e-300)) / (seen.sum() + escape)
+
+    data = b" " * order + text.encode()
+    return -sum(np.log2(distribution(data[at - order:at])[data[at]]) for at in range(order, len(data)))
+
+
+@pytest.mark.parametrize("order", [1, 3, 4])
+def test_all_contexts_of_the_table_equal_the_definition(spark, order):
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet").where("length(text) < 1500")
+    model = fit(docs, per_language=12, order=order)
+    learned = defaultdict(list)
+    for r in training_texts(docs, 12).collect():
+        learned[r["lang"]].append(r["text"])
+    assert sorted(learned) == model.languages and all(len(texts) <= 12 for texts in learned.values())
+    for text in [r["text"] for r in docs.orderBy("doc_id").limit(4).collect()] + ["\n\n  ", "É漢 zzz 123"]:
+        found = code_lengths(model, pa.array([text]))[0]
+        for place, language in enumerate(model.languages):
+            assert found[place] == pytest.approx(tree_bits(learned[language], text, order), rel=1e-5), (language, text)
+
+
+def test_the_sample_is_bounded_by_rows(spark):
+    rows = [(n % 40, f"{prose(n, 5)} {n}", "en", "a") for n in range(2000)]
+    assert training_texts(frame(spark, rows), 25).count() == 25
+    assert training_texts(frame(spark, rows), 60).count() == 40
+
+
+def test_places_find_what_is_there():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 40, 50_000))
+    places = Places(keys)
+    assert (places.find(keys) == np.arange(len(keys))).all()
+    other = np.setdiff1d(np.arange(0, 200_000, 3), keys)
+    assert (places.find(other) == -1).all()
+    assert (Places(keys[:0]).find(keys) == -1).all() and len(places.find(keys[:0])) == 0
+
+
 def test_batches_and_slices_do_not_matter(spark):
     model = fit(frame(spark, training_rows()))
     texts = [prose(900 + n, 1 + n * 37, LANGS[n % 3]) for n in range(9)] + ["", None, "x" * 300_000]

@@ -16,9 +16,7 @@ ALPHABET = [" ", "  ", "\n", " \n", "\t", "a", "Bc", "é", "İ", "ß", "1", "23"
 
 
 def reference(name):
-    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(public_tokenizers.path(name))
 
 
 @pytest.mark.parametrize(("name", "spaces"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
@@ -28,6 +26,7 @@ def test_ids_equal_the_tokenizers(spark, name, spaces):
     texts = ["".join(chance.choices(ALPHABET, k=chance.randrange(14))) for _ in range(5000)]
     texts += ["", " ", "  ", "\n", " a", "a ", "  a  b  "]
     texts += [r["text"] for r in spark.read.parquet(f"{TABLES}/documents.parquet").select("text").limit(50).collect()]
+    texts += ["a <|endoftext|> b", "<|startoftext|>x", "<|ENDOFTEXT|> <|endoftext", "a<|endoftext|><|endoftext|>\n<|", "320 <| endoftext|> 321"]
     for text in texts:
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
@@ -103,8 +102,9 @@ def test_documents_of_the_table(spark):
 
 
 def test_odd_rows(spark):
+    rows = [*odd_rows(), (16, "x <|endoftext|> y<|startoftext|>", "en", "a"), (17, "<|endoftext|>" * 70, "en", "a")]
     docs = defaultdict(list)
-    for i, text, *_ in odd_rows():
+    for i, text, *_ in rows:
         docs[i].append(text)
-    check(pack(frame(spark, odd_rows(), 4), capacity=32).collect(), docs, 32)
+    check(pack(frame(spark, rows, 4), capacity=32).collect(), docs, 32)
     assert pack(frame(spark, odd_rows()).limit(0)).collect() == []
