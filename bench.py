@@ -3,8 +3,8 @@
 Settings: ``BENCH_SF_DIR`` (data folder), ``BENCH_CPUS`` (local cores),
 ``BENCH_RUNS`` (warm runs, the median counts), ``BENCH_QUERIES`` (comma list),
 ``BENCH_SHARED_DIR`` (folder of the intermediate tables).
-Every run materialises the whole result. The stored star schemas and graph are
-built once; building them is timed as ``build_*``.
+Every run materialises the whole result. The stored star schemas, graph, word
+indexes and vector cells are built once; building them is timed as ``build_*``.
 """
 
 from __future__ import annotations
@@ -26,6 +26,10 @@ BUILDS = {
     "build_order_star": adapt.order_star,
     "build_trade_star": adapt.trade_star,
     "build_trade_graph": adapt.trade_graph,
+    "build_trade_lists": adapt.trade_lists,
+    "build_document_index": adapt.document_index,
+    "build_part_index": adapt.part_index,
+    "build_vector_cells": adapt.vector_cells,
 }
 
 

@@ -15,17 +15,21 @@ from gaugeline.functions.text import (
 )
 from gaugeline.operators.gold import Gold
 from gaugeline.operators.scale import latest_rows, top_rows
-from gaugeline.operators.serving import named_facts
 from gaugeline.session import materialize
 
 
-def read_questions(queries: DataFrame, word_boundary: bool = False) -> DataFrame:
-    """(query_id, query) with everything read off the question text."""
+def read_questions(
+    queries: DataFrame, word_boundary: bool = False, aliases: list[tuple[str, str]] | None = None
+) -> DataFrame:
+    """(query_id, query) with everything read off the question text.
+
+    ``aliases`` are the names (lower case) and codes of the countries that a text may mention.
+    """
     text = F.col("query")
     return queries.select(
         "query_id", "query",
         F.array_join(expand_phrases(text), " ").alias("search_text"),
-        resolve_countries(text, word_boundary=word_boundary).alias("countries"),
+        resolve_countries(text, aliases, word_boundary=word_boundary).alias("countries"),
         contains_any(text, fv.COMPARISON_WORDS).alias("is_comparison"),
         mentioned_year(text).alias("year"),
     )
@@ -146,11 +150,16 @@ def question_facts(ranked: DataFrame, questions: DataFrame, gold: Gold) -> DataF
                                F.posexplode("countries").alias("country_no", "country_code")), "query_id"),
         "asked-facts")
     key = ["country_code", "indicator_code"]
-    # Only the series asked for are read further, so the latest fact is looked
-    # for among those and not in the whole table.
-    series = named_facts(gold).join(asked.select(*key).distinct(), key, "left_semi")
-    facts = materialize(series.select(
-        *key, "country_name", "indicator_name", "unit", "year", "period_start", "value"), "asked-series")
+    # The codes asked for become keys before the facts are read, so the scan is cut to their
+    # countries, and the latest fact is looked for among the series asked for only.
+    wanted = materialize(
+        asked.select(*key).distinct()
+        .join(gold.dim_countries.select("country_key", "country_code", "country_name"), "country_code")
+        .join(gold.dim_indicators.select("indicator_key", "indicator_code", "indicator_name", "unit"), "indicator_code"),
+        "asked-keys")
+    facts = materialize(gold.fact.join(wanted, ["country_key", "indicator_key"]).select(
+        *key, "country_name", "indicator_name", "unit", F.year("period_start").alias("year"), "period_start", "value"),
+        "asked-series")
     latest = latest_rows(facts, key, [F.col("period_start").desc(), F.col("value").desc()])
     all_years = asked.filter("is_comparison").join(facts, key)
     one_year = asked.filter("not is_comparison and asked_year is not null").join(

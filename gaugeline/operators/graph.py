@@ -9,6 +9,9 @@ ordered by the node ids along the chain, so the first n rows are well defined.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -206,6 +209,69 @@ def paths_up_to_two(edges: DataFrame, rel: str, near: str, far: str) -> DataFram
     return one.unionByName(two).distinct()
 
 
+@dataclass(frozen=True)
+class Lists:
+    """Adjacency lists: (step, node, far), ``far`` being the node's first ``cap`` neighbours in order."""
+
+    rows: DataFrame
+    cap: int
+
+    def of(self, name: str, near: str, far: str) -> DataFrame:
+        return self.rows.filter(F.col("step") == name).select(F.col("node").alias(near), F.col("far").alias(far))
+
+
+def first_neighbours(pairs: DataFrame, cap: int) -> DataFrame:
+    """(node, far): per node of (node, far) its first ``cap`` neighbours.
+
+    Every map task sends on ``cap`` neighbours of a node at most, however many edges the node has.
+    """
+    first = top_rows(pairs, ["node"], [F.col("far")], cap)
+    return first.groupBy("node").agg(F.sort_array(F.collect_list("far")).alias("far"))
+
+
+# Step name, relation, and whether it is followed from its end to its start.
+STEPS = [
+    ("category", "BELONGS_TO", False),
+    ("indicators", "HAS_INDICATOR", False),
+    ("countries", "HAS_INDICATOR", True),
+    ("source", "SOURCED_FROM", False),
+    ("columns", "CONTAINS", False),
+]
+UPSTREAM = "upstream"
+
+
+def store_lists(edges: DataFrame, cap: int = max(fv.INDICATOR_ROW_CAP, fv.COUNTRY_ROW_CAP)) -> Lists:
+    """Adjacency lists of the relations that expansion follows, stored by step for many expansions.
+
+    An expansion keeps the first rows of its chain, and of the rows that agree up
+    to a step only the node's first neighbours can be among them, so lists of ``cap`` neighbours
+    give the same rows as all edges. Edges that are there twice count twice.
+    """
+    lists = [first_neighbours(step(edges, rel, "node", "far", backward), cap).withColumn("step", F.lit(name))
+             for name, rel, backward in STEPS]
+    derived = step(edges, "DERIVED_FROM", "node", "far")
+    # Of a column two steps up only the first neighbours of the one between can count.
+    between = first_neighbours(derived, cap).select(F.col("node").alias("middle"), F.col("far").alias("next"))
+    two = derived.withColumnRenamed("far", "middle").join(between, "middle").select("node", F.explode("next").alias("far"))
+    lists.append(first_neighbours(derived.unionByName(two).distinct(), cap).withColumn("step", F.lit(UPSTREAM)))
+    rows = reduce(DataFrame.unionByName, lists)
+    return Lists(materialize(rows, "adjacency", ("step",)), cap)
+
+
+def _lists_for(edges: DataFrame, lists: Lists | None, cap: int) -> Lists:
+    if lists is None:
+        return store_lists(edges, cap)
+    if lists.cap < cap:
+        raise ValueError(f"the lists hold {lists.cap} neighbours of a node; {cap} are asked for")
+    return lists
+
+
+def follow(rows: DataFrame, lists: Lists, name: str, near: str, far: str) -> DataFrame:
+    """``rows`` with each neighbour of ``near`` in turn as ``far``; a row without any keeps null."""
+    pairs = lists.of(name, near, "_far")
+    return rows.join(pairs, near, "left").select(*rows.columns, F.explode_outer("_far").alias(far))
+
+
 def containing(texts: DataFrame, text: str, terms: DataFrame, term: str) -> DataFrame:
     """Rows of ``texts`` with every term their text contains.
 
@@ -258,29 +324,25 @@ def matching_documents(
 
 
 def indicator_rows(
-    nodes: DataFrame, edges: DataFrame, indicators: DataFrame, cap: int = fv.INDICATOR_ROW_CAP
+    nodes: DataFrame, edges: DataFrame, indicators: DataFrame, cap: int = fv.INDICATOR_ROW_CAP, lists: Lists | None = None
 ) -> DataFrame:
     """First ``cap`` rows of the chain from every indicator of (i).
 
     Steps: category, countries, source table, its columns, their upstream
     columns, documents. Every step is optional and keeps at least one row per
     row before it, so cutting to the first ``cap`` rows after each step gives
-    the same rows as cutting once at the end.
+    the same rows as cutting once at the end. Without ``lists`` they are made for this call.
     """
+    lists = _lists_for(edges, lists, cap)
     names = nodes.filter(F.col("type") == "Indicator").select(
         F.col("id").alias("i"), F.col("name").alias("i_name"))
     rows = indicators.select("i").distinct().join(names, "i")
     order: list[str] = []
 
-    def follow(rows: DataFrame, pairs: DataFrame, on: list[str], far: str) -> DataFrame:
+    for name, near, far in [("category", "i", "cat"), ("countries", "i", "c"), ("source", "i", "src"),
+                            ("columns", "src", "col"), (UPSTREAM, "col", "up")]:
         order.append(far)
-        return top_rows(rows.join(pairs, on, "left"), ["i"], [F.col(c) for c in order], cap).drop("rank")
-
-    rows = follow(rows, step(edges, "BELONGS_TO", "i", "cat"), ["i"], "cat")
-    rows = follow(rows, step(edges, "HAS_INDICATOR", "i", "c", backward=True), ["i"], "c")
-    rows = follow(rows, step(edges, "SOURCED_FROM", "i", "src"), ["i"], "src")
-    rows = follow(rows, step(edges, "CONTAINS", "src", "col"), ["src"], "col")
-    rows = follow(rows, paths_up_to_two(edges, "DERIVED_FROM", "col", "up"), ["col"], "up")
+        rows = top_rows(follow(rows, lists, name, near, far), ["i"], [F.col(c) for c in order], cap).drop("rank")
     rows = materialize(rows, "indicator-rows")
     documents = matching_documents(
         nodes, edges, rows.filter(F.col("c").isNotNull()).select("i_name", "cat", "c").distinct(), cap)
@@ -300,14 +362,14 @@ def indicator_rows(
 
 
 def country_rows(
-    nodes: DataFrame, edges: DataFrame, countries: DataFrame, cap: int = fv.COUNTRY_ROW_CAP
+    nodes: DataFrame, edges: DataFrame, countries: DataFrame, cap: int = fv.COUNTRY_ROW_CAP, lists: Lists | None = None
 ) -> DataFrame:
     """First ``cap`` rows of country, indicator and category from every country of (c)."""
+    lists = _lists_for(edges, lists, cap)
     known = nodes.filter(F.col("type") == "Country").select(F.col("id").alias("c"))
-    rows = countries.select("c").distinct().join(known, "c")
-    rows = rows.join(step(edges, "HAS_INDICATOR", "c", "i"), "c", "left")
+    rows = follow(countries.select("c").distinct().join(known, "c"), lists, "indicators", "c", "i")
     rows = top_rows(rows, ["c"], [F.col("i")], cap).drop("rank")
-    rows = rows.join(step(edges, "BELONGS_TO", "i", "cat"), "i", "left")
+    rows = follow(rows, lists, "category", "i", "cat")
     return top_rows(rows, ["c"], [F.col("i"), F.col("cat")], cap, "row_no").select("c", "i", "cat", "row_no")
 
 
@@ -328,7 +390,7 @@ def _nodes_of_rows(rows: DataFrame, anchor_type: str, anchor: str, columns: list
 
 def expand(
     nodes: DataFrame, edges: DataFrame, anchors: DataFrame, max_nodes: int = fv.EXPANSION_CAP,
-    indicator_cap: int = fv.INDICATOR_ROW_CAP, country_cap: int = fv.COUNTRY_ROW_CAP,
+    indicator_cap: int = fv.INDICATOR_ROW_CAP, country_cap: int = fv.COUNTRY_ROW_CAP, lists: Lists | None = None,
 ) -> DataFrame:
     """Nodes reached from the anchors of every query, in the order first seen.
 
@@ -336,14 +398,15 @@ def expand(
     once, however many queries share it. Anchors other than indicators and
     countries lead nowhere. Returns (query_id, place, type, id, properties).
     """
+    lists = _lists_for(edges, lists, max(indicator_cap, country_cap))
     indicators = anchors.filter(F.col("type") == "Indicator").select(F.col("id").alias("i"))
     countries = anchors.filter(F.col("type") == "Country").select(F.col("id").alias("c"))
     reached = _nodes_of_rows(
-        indicator_rows(nodes, edges, indicators, indicator_cap), "Indicator", "i",
+        indicator_rows(nodes, edges, indicators, indicator_cap, lists), "Indicator", "i",
         [("i", "Indicator"), ("cat", "IndicatorCategory"), ("c", "Country"), ("src", "DataTable"),
          ("col", "DataColumn"), ("up", "DataColumn"), ("d", "Document")],
     ).unionByName(_nodes_of_rows(
-        country_rows(nodes, edges, countries, country_cap), "Country", "c",
+        country_rows(nodes, edges, countries, country_cap, lists), "Country", "c",
         [("c", "Country"), ("i", "Indicator"), ("cat", "IndicatorCategory")]))
 
     named = anchors.select(

@@ -258,7 +258,7 @@ def search_index(
         words_asked = asked.select("field", "word").distinct()
         every_row = words_asked.select("field", F.lit(ALL_ROWS).alias("word")).distinct()
         known = materialize(vocabulary(index, words_asked.unionByName(every_row)), "vocabulary")
-        matches = exact_words(asked, known)
+        matches = exact_words(asked, known.filter(F.col("word") != ALL_ROWS))
     return score_rows(index, word_weights(asked, matches, known, fields), k, by_id)
 
 

@@ -10,70 +10,7 @@ from pyspark.sql import types as T
 
 from gaugeline import fixed_values as fv
 from gaugeline.functions.text import counted, let, words
-from gaugeline.operators.scale import top_rows
-
-# Queries shipped to the tasks at a time: 2,000 vectors of 3,072 doubles are 49 MB.
-QUERY_BLOCK = 2_000
-# Numbers computed at a time in one task: 8 million doubles are 64 MB.
-BLOCK_CELLS = 8_000_000
-# Similarities closer than this are a tie, broken by id.
-DECIMALS = 9
-# Stands for the similarity of a vector without direction; it ranks last.
-NO_DIRECTION = -2.0
-
-
-def _block_top(vectors: DataFrame, queries: list, query_type: T.DataType, k: int) -> DataFrame:
-    """Per partition, the ``k`` nearest rows to each of a few query vectors."""
-    import numpy as np
-
-    schema = T.StructType([
-        T.StructField("query_id", query_type),
-        T.StructField("id", vectors.schema["id"].dataType),
-        T.StructField("similarity", T.DoubleType()),
-    ])
-    if not queries:
-        return vectors.sparkSession.createDataFrame([], schema)
-    names = np.array([row["query_id"] for row in queries])
-    matrix = np.array([row["embedding"] for row in queries], dtype="float64")
-    lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
-    unit = np.divide(matrix, lengths, out=np.full_like(matrix, np.nan), where=lengths > 0)
-    decimals, cells, no_direction = DECIMALS, BLOCK_CELLS, NO_DIRECTION
-
-    def scan(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pandas as pd
-
-        best = pd.DataFrame({"q": [], "id": [], "similarity": []})
-        least = np.full(len(names), -np.inf)  # similarity of the k-th best so far
-        for batch in batches:
-            if not len(batch):
-                continue
-            rows_at_once = max(1, cells // max(len(names), unit.shape[1]))
-            for start in range(0, len(batch), rows_at_once):
-                part = batch.iloc[start:start + rows_at_once]
-                data = np.stack(part["embedding"].to_numpy()).astype("float64")
-                norms = np.linalg.norm(data, axis=1, keepdims=True)
-                data = np.divide(data, norms, out=np.full_like(data, np.nan), where=norms > 0)
-                close = np.nan_to_num(np.round(unit @ data.T, decimals), nan=no_direction)
-                # A row matters only if it is among the best so far and among
-                # the best of this part; equals stay, to be told apart by id.
-                bar = least
-                if close.shape[1] > k:
-                    bar = np.maximum(least, np.partition(close, -k, axis=1)[:, -k])
-                q, r = np.nonzero(close >= bar[:, None])
-                found = pd.DataFrame({"q": q, "id": part["id"].to_numpy()[r], "similarity": close[q, r]})
-                pool = found if best.empty else pd.concat([best, found], ignore_index=True)
-                pool = pool.sort_values(["q", "similarity", "id"], ascending=[True, False, True])
-                best = pool.groupby("q", sort=False).head(k)
-                full = best.groupby("q")["similarity"].agg(["size", "min"])
-                full = full[full["size"] == k]
-                least[full.index.to_numpy(dtype="int64")] = full["min"].to_numpy()
-        if not best.empty:
-            yield pd.DataFrame({
-                "query_id": names[best["q"].to_numpy(dtype="int64")], "id": best["id"].to_numpy(),
-                "similarity": best["similarity"].to_numpy()})
-
-    return vectors.select("id", "embedding").mapInPandas(scan, schema)
+from gaugeline.operators.cells import nearest_in_cells, store_cells
 
 
 def nearest(
@@ -83,25 +20,12 @@ def nearest(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
-    """The ``k`` rows nearest to every query of (query_id, embedding), by cosine.
+    """``nearest_in_cells`` over vectors that are stored in cells for this search.
 
-    Every row is compared (no index). Each partition keeps its own ``k`` best
-    per query, so only those are shuffled. Queries go to the tasks in blocks of
-    a fixed size; a larger set of queries takes several scans, one per block.
+    Keep the cells (``store_cells``) to search the same vectors many times.
     Returns (query_id, id, similarity, rank).
     """
-    rows = vectors.filter(F.col(vector_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(vector_col).alias("embedding"))
-    asked = queries.select("query_id", "embedding")
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    result = None
-    for block in range(blocks):
-        chosen = asked
-        if blocks > 1:
-            chosen = asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
-        part = _block_top(rows, chosen.collect(), asked.schema["query_id"].dataType, k)
-        result = part if result is None else result.unionByName(part)
-    return top_rows(result, ["query_id"], [F.col("similarity").desc(), F.col("id")], k)
+    return nearest_in_cells(store_cells(vectors, id_col, vector_col), queries, k)
 
 
 def indicator_text(code: Column, name: Column, category: Column, description: Column) -> Column:

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.functions.dates import calendar_between, year_end, year_start
+from gaugeline.operators import cells, stored_index
 from gaugeline.operators import graph as g
 from gaugeline.operators.gold import Gold
 from gaugeline.plans.medallion import build_star
-from gaugeline.session import materialize
+from gaugeline.session import materialize, new_table_path
 from gaugeline.sources.tables import spread_scan
 
 _built: dict[tuple[str, str, str], object] = {}
@@ -228,6 +229,31 @@ def part_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat("text", F.lit(" "), misspelt, F.lit(" "), F.lower("p_type")).alias("query"))
 
 
+DOCUMENT_FIELDS = [("text", 1.0, "text")]
+
+
+def document_index(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of a stored word index of the documents."""
+
+    def build():
+        folder = new_table_path(spark, "document-index")
+        stored_index.write_index(documents(spark, sf_dir).select("doc_id", "text"), folder, "doc_id", DOCUMENT_FIELDS)
+        return folder
+
+    return once(spark, sf_dir, "document_index", build)
+
+
+def part_index(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of a stored word index of the parts."""
+
+    def build():
+        folder = new_table_path(spark, "part-index")
+        stored_index.write_index(part_seed(spark, sf_dir), folder)
+        return folder
+
+    return once(spark, sf_dir, "part_index", build)
+
+
 def source_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embedding rows; even labels stand for parts, odd ones for documents."""
     kind = F.when(F.col("label") % 2 == 0, "indicator").otherwise("document")
@@ -240,6 +266,11 @@ def source_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vector_cells(spark: SparkSession, sf_dir: str) -> cells.Cells:
+    """The embeddings in cells, by vec_id."""
+    return once(spark, sf_dir, "vector_cells", lambda: cells.store_cells(table(spark, sf_dir, "embeddings")))
+
+
 def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vector that stands for each benchmark text."""
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
@@ -268,6 +299,11 @@ def trade_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return once(spark, sf_dir, "trade_graph", build)
 
 
+def trade_lists(spark: SparkSession, sf_dir: str) -> g.Lists:
+    """Adjacency lists of the graph."""
+    return once(spark, sf_dir, "trade_lists", lambda: g.store_lists(trade_graph(spark, sf_dir)[1]))
+
+
 def lineage(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Table and column nodes of the line-item star, with their derivations."""
     silver, gold = trade_star(spark, sf_dir)

@@ -4,30 +4,36 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gaugeline import fixed_values as fv
 from gaugeline.functions import dates, text, vectors
 from gaugeline.operators import (
+    cells,
     chat,
     chunking,
     context,
     fusion,
     graph,
     metrics,
+    pages,
     quality,
     search,
     serving,
     silver,
+    stored_index,
     vector,
 )
 from gaugeline.plans import adapt, retrieval
 from gaugeline.plans.adapt import table
+from gaugeline.plans.layers import Layers
 from gaugeline.session import materialize, new_table_path
-from gaugeline.sources import landing, sinks, tables
-from gaugeline.streaming.events import read_event_stream, run_available
+from gaugeline.sources import gate, keyed, landing, sinks, tables
+from gaugeline.streaming.events import read_event_stream, run_updates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -178,6 +184,21 @@ def paged_indicators(spark, sf):
     return serving.page(rows, order, page_no=3, page_size=50)
 
 
+@query
+def stored_pages(spark, sf):
+    """The last full page by number, and as many rows after the last row of the third, from sorted facts."""
+    folder = new_table_path(spark, "pages")
+    order = [("indicator_code", False), ("country_code", False), ("year", True)]
+    rows = serving.query_indicators(adapt.order_star(spark, sf)[1]).withColumn("year", F.col("year").cast("int"))
+    total = pages.store_sorted(rows, folder, order, stride=100)["total"]
+    last = pages.read_page(spark, folder, max(total // 50, 1), 50).drop("total").withColumn("page", F.lit("last"))
+    third = pages.read_page(spark, folder, 3, 50).orderBy(F.desc("indicator_code"), F.desc("country_code"), "year").first()
+    if third is None:
+        return last
+    key = {name: third[name] for name, _ in order}
+    return longs(last.unionByName(pages.read_after(spark, folder, key, 50).withColumn("page", F.lit("fourth"))), "year")
+
+
 def two_sources(spark, sf) -> DataFrame:
     """Order observations from two systems: customers' nations against a national office
     that reports the order nations' values of high-priority orders 3 to 9 percent off."""
@@ -292,6 +313,48 @@ def publish_counts(spark, sf):
     return sinks.row_counts({n: tables.read_dataset(spark, f"{base}/{n}") for n in gold.tables()})
 
 
+@query
+def publish_gate(spark, sf):
+    """The star published behind checks, then again with facts that must not be; counts of checks and of what readers see."""
+    gold = adapt.order_star(spark, sf)[1]
+    folder = new_table_path(spark, "gated")
+    checks = {"fact_economic_indicators": [gate.not_null("value"), gate.not_null("country_key"), gate.within("value", 0, 10**9)],
+              "dim_countries": [gate.not_null("country_code")]}
+    first = gate.publish_checked(gold.tables(), folder, checks)
+    spoilt = F.when(F.year("period_start") != 1995, F.col("value"))
+    bad = {"fact_economic_indicators": gold.fact.withColumn("value", spoilt), "dim_countries": gold.dim_countries.limit(1)}
+    second = gate.publish_checked(bad, folder, checks)
+    seen = sinks.row_counts({name: gate.read_published(spark, folder, name) for name in gold.tables()})
+    return longs(first.withColumn("attempt", F.lit(1)).unionByName(second.withColumn("attempt", F.lit(2))).unionByName(
+        seen.select("table_name", F.lit("published").alias("check_name"), "n_rows", F.lit(0).cast("long").alias("n_failing"),
+                    F.lit(None).cast("int").alias("version"), F.lit(3).alias("attempt"))), "attempt", "version")
+
+
+@query
+def layered_build(spark, sf):
+    """Orders by country and year, built from raw tables through staging views by names alone."""
+    layers = Layers({"raw_orders": adapt.order_observations(spark, sf), "seed_countries": adapt.country_seed(spark, sf)})
+
+    @layers.add("mart_totals", ("mart_yearly", "stg_countries"), "marts")
+    def totals(ref):
+        joined = ref("mart_yearly").join(ref("stg_countries"), "country_code")
+        return joined.groupBy("region").agg(F.sum("n").alias("n"), F.countDistinct("country_code").alias("n_countries"), F.max("year").alias("last_year"))
+
+    @layers.add("mart_yearly", ("stg_observations",), "marts")
+    def yearly(ref):
+        return ref("stg_observations").groupBy("country_code", "year").agg(F.count("*").alias("n"))
+
+    @layers.add("stg_observations", ("raw_orders",))
+    def observations(ref):
+        return silver.clean_observations(ref("raw_orders"), (F.col("obs_id"),))
+
+    @layers.add("stg_countries", ("seed_countries",))
+    def countries(ref):
+        return ref("seed_countries").select("country_code", "region")
+
+    return longs(layers.build(["mart_totals"])["mart_totals"], "n", "n_countries", "last_year")
+
+
 @query
 def layer_reconciliation(spark, sf):
     cleaned, gold = adapt.order_star(spark, sf)
@@ -334,14 +397,14 @@ def stored_files(spark, sf):
 
 @query
 def search_rows_upsert(spark, sf):
-    """Search rows of the parts, the large ones re-described, merged by code."""
+    """Search rows of the parts, the large ones re-described, merged by code into a second version."""
     gold = adapt.trade_star(spark, sf)[1]
     old = sinks.indicator_search_rows(gold.dim_indicators)
     new = old.filter(F.col("category") == "large").withColumn("description", F.lit("re-described"))
     path = new_table_path(spark, "search-rows")
-    sinks.upsert_dataset(spark, path, old, ["indicator_code"])
-    sinks.upsert_dataset(spark, path, new, ["indicator_code"])
-    return tables.read_dataset(spark, path)
+    keyed.write_keyed(old, path, ["indicator_code"], 16)
+    keyed.write_keyed(new, path, ["indicator_code"])
+    return keyed.read_table(spark, path)
 
 
 @query
@@ -540,6 +603,29 @@ def search_postings(spark, sf):
     return longs(search.postings(tables.read_dataset(spark, path)), "len", "tf")
 
 
+def benchmark_queries(spark, sf) -> DataFrame:
+    return table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+
+
+@query
+def search_stored(spark, sf):
+    """Ten best documents for every benchmark text, from a stored index."""
+    folder = adapt.document_index(spark, sf)
+    return longs(stored_index.search_stored(spark, folder, benchmark_queries(spark, sf), 10, fuzzy=False), "rank")
+
+
+@query
+def search_after_update(spark, sf):
+    """Ten best parts from an index to which parts were added, in which some changed and from which some went."""
+    parts = adapt.part_seed(spark, sf)
+    number = F.substring("indicator_code", 2, 20).cast("long")
+    folder = new_table_path(spark, "changing-index")
+    stored_index.write_index(parts.filter(number % 3 != 0).withColumn("description", F.lower("category")), folder)
+    stored_index.add_rows(parts.filter((number % 3 == 0) | (number % 3 == 1)), folder)
+    stored_index.delete_rows(parts.filter(number % 10 == 7), folder)
+    return longs(stored_index.search_stored(spark, folder, adapt.part_questions(spark, sf), 10), "rank")
+
+
 @query
 def vector_topk(spark, sf):
     """Twenty nearest vectors to the first vector of every label."""
@@ -547,7 +633,7 @@ def vector_topk(spark, sf):
     firsts = rows.groupBy("label").agg(F.min("vec_id").alias("vec_id"))
     queries = firsts.join(rows.select("vec_id", "embedding"), "vec_id").select(
         F.col("label").cast("long").alias("query_id"), "embedding")
-    hits = vector.nearest(rows, queries, fv.SEMANTIC_SIZE)
+    hits = cells.nearest_in_cells(adapt.vector_cells(spark, sf), queries, fv.SEMANTIC_SIZE)
     return longs(hits, "rank").withColumn("similarity", F.round("similarity", 6))
 
 
@@ -597,7 +683,10 @@ def embed_text_compose(spark, sf):
 
 @query
 def embedding_store(spark, sf):
-    """Embedding rows of the parts, stored twice under the same keys."""
+    """Embedding rows of the parts with their vectors, stored twice under the same keys.
+
+    A vector is shown as its slots that are not zero, in hundred-thousandths.
+    """
     parts = adapt.part_seed(spark, sf)
     texts = parts.withColumn("text", vector.indicator_text(
         F.col("indicator_code"), F.col("indicator_name"), F.col("category"), F.col("description")))
@@ -605,8 +694,11 @@ def embedding_store(spark, sf):
     rows = vector.embedding_rows(vector.embed_hashed(texts, dimension=32), "indicator", "indicator_code", columns)
     path = new_table_path(spark, "embeddings")
     for _ in range(2):
-        sinks.upsert_dataset(spark, path, rows, ["source_type", "source_id", "text"])
-    return tables.read_dataset(spark, path).select("source_type", "source_id", "text", "metadata")
+        keyed.write_keyed(rows, path, ["source_type", "source_id", "text"], 16)
+    shown = F.transform("embedding", lambda w, slot: F.when(w != 0, F.concat(
+        slot.cast("string"), F.lit(":"), F.round(w.cast("double") * 100_000).cast("long").cast("string"))))
+    return keyed.read_table(spark, path).select(
+        "source_type", "source_id", "text", "metadata", F.array_join(shown, " ").alias("vector"))
 
 
 @query
@@ -628,9 +720,11 @@ def rrf_fusion(spark, sf):
 def rrf_hits(spark, sf) -> DataFrame:
     """Anchors of the misspelt part questions."""
     asked = adapt.part_questions(spark, sf).withColumnRenamed("query", "search_text")
-    lexical = retrieval.lexical_hits(adapt.part_seed(spark, sf), asked, fv.LEXICAL_SIZE_IN_RETRIEVAL)
+    lexical = retrieval.lexical_hits(
+        adapt.part_seed(spark, sf), asked, fv.LEXICAL_SIZE_IN_RETRIEVAL, adapt.part_index(spark, sf))
     semantic = retrieval.semantic_hits(
-        adapt.source_vectors(spark, sf), adapt.item_vectors(spark, sf), fv.SEMANTIC_SIZE_IN_RETRIEVAL)
+        adapt.source_vectors(spark, sf), adapt.item_vectors(spark, sf), fv.SEMANTIC_SIZE_IN_RETRIEVAL,
+        adapt.vector_cells(spark, sf))
     return fusion.fuse(lexical, semantic)
 
 
@@ -692,22 +786,32 @@ def doc_topic_edges(spark, sf):
 
 @query
 def graph_upsert(spark, sf):
-    """Countries renamed and edges added; edges without both ends are left out."""
+    """Countries renamed and edges added to stored tables; edges without both ends are left out.
+
+    All nodes and edges as stored, in their second versions.
+    """
     nodes, edges = adapt.trade_graph(spark, sf)
     new_name = F.concat(F.lit("The "), F.col("id"))
     renamed = nodes.filter(F.col("type") == "Country").withColumns(
         {"name": new_name, "properties": F.create_map(F.lit("name"), new_name)})
-    merged = graph.upsert_nodes(nodes, renamed)
+    node_path, edge_path = new_table_path(spark, "node-table"), new_table_path(spark, "edge-table")
+    keyed.create_table(nodes, node_path, ["type", "id"], 16)
+    keyed.merge_table(renamed, node_path, graph.upsert_nodes)
+    merged = keyed.read_table(spark, node_path)
     extra = table(spark, sf, "supplier").select(
         F.lit("Country").alias("src_type"), F.concat(F.lit("NATION_"), F.col("s_nationkey").cast("string")).alias("src"),
         F.lit("HAS_INDICATOR").alias("rel"), F.lit("Indicator").alias("dst_type"),
         F.concat(F.lit("P"), F.col("s_suppkey").cast("string")).alias("dst"))
     dangling = extra.withColumn("dst", F.concat(F.lit("Q"), "dst"))
-    linked = graph.upsert_edges(edges, extra.unionByName(dangling), merged)
-    ends = merged.groupBy("type").agg(F.count("*").alias("n"), F.count_if((F.col("type") == "Country") & F.startswith("name", F.lit("The "))).alias("n_renamed"))
-    return ends.select(F.lit("node").alias("kind"), F.col("type").alias("label"), "n", "n_renamed").unionByName(
-        linked.groupBy("rel").agg(F.count("*").alias("n")).select(
-            F.lit("edge").alias("kind"), F.col("rel").alias("label"), "n", F.lit(0).cast("long").alias("n_renamed")))
+    keyed.create_table(edges.select(*graph.EDGE_COLUMNS), edge_path, graph.EDGE_COLUMNS, 16)
+    keyed.merge_table(extra.unionByName(dangling), edge_path, lambda old, new: graph.upsert_edges(old, new, merged))
+    linked = keyed.read_table(spark, edge_path)
+    return merged.select(
+        F.lit("node").alias("kind"), F.col("type").alias("label"), "id", F.coalesce("name", F.lit("")).alias("name"),
+        F.lit("").alias("target"), properties_text(F.col("properties")).alias("properties"),
+    ).unionByName(linked.select(
+        F.lit("edge").alias("kind"), F.col("rel").alias("label"), F.concat_ws(":", "src_type", "src").alias("id"),
+        F.lit("").alias("name"), F.concat_ws(":", "dst_type", "dst").alias("target"), F.lit("").alias("properties")))
 
 
 @query
@@ -728,7 +832,7 @@ def graph_expand_indicator(spark, sf):
     """First rows of the chain from every part."""
     nodes, edges = adapt.trade_graph(spark, sf)
     parts = nodes.filter(F.col("type") == "Indicator").select(F.col("id").alias("i"))
-    rows = graph.indicator_rows(nodes, edges, parts)
+    rows = graph.indicator_rows(nodes, edges, parts, lists=adapt.trade_lists(spark, sf))
     return longs(rows.select("i", "cat", "c", "d", "row_no"), "row_no")
 
 
@@ -736,7 +840,7 @@ def graph_expand_indicator(spark, sf):
 def graph_expand_country(spark, sf):
     nodes, edges = adapt.trade_graph(spark, sf)
     countries = nodes.filter(F.col("type") == "Country").select(F.col("id").alias("c"))
-    return longs(graph.country_rows(nodes, edges, countries), "row_no")
+    return longs(graph.country_rows(nodes, edges, countries, lists=adapt.trade_lists(spark, sf)), "row_no")
 
 
 @query
@@ -751,7 +855,7 @@ def graph_expand_lineage(spark, sf):
 
 def expanded_anchors(spark, sf) -> DataFrame:
     nodes, edges = adapt.trade_graph(spark, sf)
-    return graph.expand(nodes, edges, adapt.anchors(spark, sf), max_nodes=50)
+    return graph.expand(nodes, edges, adapt.anchors(spark, sf), max_nodes=50, lists=adapt.trade_lists(spark, sf))
 
 
 @query
@@ -819,7 +923,33 @@ def retrieve_context(spark, sf):
     nodes, edges = adapt.trade_graph(spark, sf)
     return retrieval.retrieve(
         adapt.part_questions(spark, sf), adapt.part_seed(spark, sf), adapt.source_vectors(spark, sf),
-        adapt.item_vectors(spark, sf), nodes, edges, gold)
+        adapt.item_vectors(spark, sf), nodes, edges, gold,
+        index=adapt.part_index(spark, sf), cells=adapt.vector_cells(spark, sf),
+        lists=adapt.trade_lists(spark, sf))
+
+
+NATION_ALIASES = [(f"nation_{n}", f"NATION_{n}") for n in range(25)]
+
+
+@query
+def retrieve_facts(spark, sf):
+    """Contexts with facts: questions about two countries over time, one in a year, one lately, and none.
+
+    The facts are dated ten years later, as questions name years from 2000 on.
+    Nodes that are anchors and expanded ones are shown twice.
+    """
+    _, gold = adapt.trade_star(spark, sf)
+    gold = replace(gold, fact=gold.fact.withColumn("period_start", F.add_months("period_start", 120)))
+    nodes, edges = adapt.trade_graph(spark, sf)
+    one, other = (F.concat(F.lit("nation_"), ((F.col("query_id") + n) % 25).cast("string")) for n in (0, 5))
+    ending = F.concat(F.lit(" of "), F.when(F.col("query_id") % 4 == 0, F.concat(one, F.lit(" and "), other, F.lit(" compare")))
+                      .when(F.col("query_id") % 4 == 1, F.concat(one, F.lit(" 2005"))).otherwise(one))
+    questions = adapt.part_questions(spark, sf).withColumn(
+        "query", F.when(F.col("query_id") % 4 < 3, F.concat("query", ending)).otherwise(F.col("query")))
+    return retrieval.retrieve(
+        questions, adapt.part_seed(spark, sf), adapt.source_vectors(spark, sf), adapt.item_vectors(spark, sf), nodes, edges, gold,
+        dedupe=False, index=adapt.part_index(spark, sf), cells=adapt.vector_cells(spark, sf), lists=adapt.trade_lists(spark, sf),
+        aliases=NATION_ALIASES)
 
 
 # --- Chat ----------------------------------------------------------------------------
@@ -909,27 +1039,45 @@ def rate_limit_violations(spark, sf):
     return metrics.rate_limit_violations(table(spark, sf, "events"), "user_id", window="1 day")
 
 
-def streamed(spark, sf, name: str, metric: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """A metric run as a stream over the events: the windows closed so far."""
+def arriving_events(spark, sf, folder: str, part: int) -> None:
+    """Put a third of the events, by time, into a folder as the next file."""
+    events = table(spark, sf, "events")
+    place = F.ntile(3).over(Window.orderBy("hour"))
+    hours = events.groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(F.count("*").alias("n")).withColumn("third", place)
+    bounds = hours.groupBy("third").agg(F.min("hour").alias("low"), F.max("hour").alias("high")).filter(F.col("third") == part).first()
+    if bounds is not None:
+        hour = F.date_trunc("hour", "ts")
+        events.filter((hour >= F.lit(bounds["low"])) & (hour <= F.lit(bounds["high"]))).write.mode("append").parquet(folder)
+
+
+def streamed(spark, sf, name: str, keys: list[str], metric: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A metric run as a stream over events that arrive in three parts, stopped and started again before the last.
+
+    Every window that a part changes is replaced in a keyed table, so the table
+    has all windows, open ones too.
+    """
     base = new_table_path(spark, name)
-    stream = read_event_stream(spark, sf, watermark="10 minutes", glob="events.parquet")
-    run_available(stream, metric, f"{base}/out", f"{base}/checkpoint")
-    closed = tables.read_dataset(spark, f"{base}/out")
-    return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+    for part in (1, 2, 3):
+        arriving_events(spark, sf, f"{base}/in", part)
+        if part > 1:
+            stream = read_event_stream(spark, f"{base}/in", watermark="10 minutes")
+            run_updates(stream, metric, f"{base}/out", keys, f"{base}/checkpoint")
+    windows = keyed.read_table(spark, f"{base}/out")
+    return windows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
 @query
 def stream_rate_per_minute(spark, sf):
-    return streamed(spark, sf, "stream-rate", metrics.rate)
+    return streamed(spark, sf, "stream-rate", ["window_start", "event_type"], metrics.rate)
 
 
 @query
 def stream_p95_window(spark, sf):
-    found = streamed(spark, sf, "stream-p95", lambda events: metrics.histogram_quantile(
+    found = streamed(spark, sf, "stream-p95", ["window_start"], lambda events: metrics.histogram_quantile(
         events, "value", VALUE_BOUNDS, 0.95, "1 hour"))
     return found.withColumn("quantile", F.round("quantile", 6))
 
 
 @query
 def stream_increase_5m(spark, sf):
-    return streamed(spark, sf, "stream-increase", metrics.increase)
+    return streamed(spark, sf, "stream-increase", ["window_start", "event_type"], metrics.increase)

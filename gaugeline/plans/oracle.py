@@ -174,6 +174,12 @@ sql("fact_timeseries", f"{ONE} ORDER BY period_start", *ORDER_GOLD, NAMED)
 sql("paged_indicators", """
 SELECT indicator_code, indicator_name, country_code, year, value, category, source_system, count(*) OVER () AS total
 FROM star ORDER BY indicator_code, country_code, year DESC LIMIT 50 OFFSET 100""", *ORDER_GOLD, STAR)
+sql("stored_pages", """
+SELECT indicator_code, indicator_name, country_code, year, value, category, source_system, page FROM (
+  SELECT *, row_number() OVER (ORDER BY indicator_code, country_code, year DESC) AS place, count(*) OVER () AS total FROM star)
+JOIN (VALUES ('last'), ('fourth')) t(page)
+  ON (page = 'last' AND place > 50 * (greatest(total // 50, 1) - 1) AND place <= 50 * greatest(total // 50, 1))
+  OR (page = 'fourth' AND place > 150 AND place <= 200)""", *ORDER_GOLD, STAR)
 
 TWO_SOURCES = """observed AS (
   SELECT country_code, indicator_code, year, value, 'world_bank' AS source_system FROM silver
@@ -287,6 +293,26 @@ SELECT count(*) AS n_rows, min(year) AS first_year, max(year) AS last_year,
 sql("partition_summary", """
 SELECT year, count(*) AS n_rows, count(DISTINCT indicator_code) AS n_indicators FROM bronze GROUP BY year""", BRONZE)
 sql("stored_files", "SELECT year, count(*) AS n_rows FROM bronze GROUP BY year", BRONZE)
+sql("layered_build", """
+SELECT region, count(*) AS n, count(DISTINCT country_code) AS n_countries, CAST(max(year) AS BIGINT) AS last_year
+FROM silver JOIN country_seed USING (country_code) GROUP BY region""", *ORDER_SILVER, COUNTRY_SEED)
+sql("publish_gate", """
+SELECT attempt, table_name, check_name, n_rows, n_failing, version FROM (
+  SELECT 1 AS attempt, 'dim_countries' AS table_name, 'country_code_not_null' AS check_name, (SELECT count(*) FROM dim_countries) AS n_rows,
+         0 AS n_failing, 1 AS version
+  UNION ALL SELECT 1, 'dim_indicators', NULL, (SELECT count(*) FROM dim_indicators), 0, 1
+  UNION ALL SELECT 1, 'dim_dates', NULL, (SELECT count(*) FROM dim_dates), 0, 1
+  UNION ALL SELECT 1, 'fact_economic_indicators', c, (SELECT count(*) FROM fact), 0, 1
+    FROM (VALUES ('value_not_null'), ('country_key_not_null'), ('value_within')) t(c)
+  UNION ALL SELECT 2, 'dim_countries', 'country_code_not_null', 1, 0, NULL
+  UNION ALL SELECT 2, 'fact_economic_indicators', c, (SELECT count(*) FROM fact),
+    CASE WHEN c = 'value_not_null' THEN (SELECT count(*) FROM fact WHERE year(period_start) = 1995) ELSE 0 END, NULL
+    FROM (VALUES ('value_not_null'), ('country_key_not_null'), ('value_within')) t(c)
+  UNION ALL SELECT 3, 'dim_countries', 'published', (SELECT count(*) FROM dim_countries), 0, NULL
+  UNION ALL SELECT 3, 'dim_indicators', 'published', (SELECT count(*) FROM dim_indicators), 0, NULL
+  UNION ALL SELECT 3, 'dim_dates', 'published', (SELECT count(*) FROM dim_dates), 0, NULL
+  UNION ALL SELECT 3, 'fact_economic_indicators', 'published', (SELECT count(*) FROM fact), 0, NULL)""", *ORDER_GOLD)
+
 sql("search_rows_upsert", """
 SELECT indicator_code, indicator_name, category,
        CASE WHEN category = 'large' THEN 're-described' ELSE description END AS description FROM part_seed""", PART_SEED)
@@ -484,6 +510,15 @@ PART_SEARCH = [PART_SEED, PART_QUERIES, corpus_words("part_seed", "indicator_cod
 sql("lexical_indicators", "SELECT query_id, id, score, rank FROM lexical", *PART_SEARCH,
     *ranking(fv.SEARCH_FIELDS, 10, True))
 
+ORACLE["search_stored"] = ORACLE["bm25_documents"]
+CHANGED_PARTS = """changed_parts AS (
+  SELECT indicator_code, indicator_name, category,
+         CASE WHEN CAST(substr(indicator_code, 2) AS BIGINT) % 3 = 2 THEN lower(category) ELSE description END AS description
+  FROM part_seed WHERE CAST(substr(indicator_code, 2) AS BIGINT) % 10 <> 7)"""
+sql("search_after_update", "SELECT query_id, id, score, rank FROM lexical", PART_SEED, PART_QUERIES, CHANGED_PARTS,
+    corpus_words("changed_parts", "indicator_code", fv.SEARCH_FIELDS), asked_words("queries", fv.SEARCH_FIELDS),
+    *ranking(fv.SEARCH_FIELDS, 10, True))
+
 
 def renamed(ctes: list[str], names: list[str], suffix: str) -> list[str]:
     """The same CTEs under other names, so that two searches fit in one statement."""
@@ -556,10 +591,16 @@ UNION ALL SELECT 'document', doc_id, 'Title: ' || title || chr(10) || 'Content:
 
 
 sql("embedding_store", """
-SELECT 'indicator' AS source_type, indicator_code AS source_id,
-       indicator_code || ' - ' || indicator_name || ' - Category: ' || category || ' - ' || description AS text,
-       CAST(json_object('indicator_code', indicator_code, 'indicator_name', indicator_name, 'category', category,
-                        'description', description) AS VARCHAR) AS metadata FROM part_seed""", PART_SEED)
+SELECT 'indicator' AS source_type, source_id, text, metadata, vector FROM embedded
+LEFT JOIN (SELECT source_id, string_agg(slot || ':' || CAST(round(weight * 100000) AS BIGINT), ' ' ORDER BY slot) AS vector
+  FROM (SELECT source_id, slot, (tf / sqrt(sum(tf * tf) OVER (PARTITION BY source_id)))::FLOAT::DOUBLE AS weight FROM slots)
+  GROUP BY source_id) USING (source_id)""", PART_SEED, """embedded AS (
+  SELECT indicator_code AS source_id,
+         indicator_code || ' - ' || indicator_name || ' - Category: ' || category || ' - ' || description AS text,
+         CAST(json_object('indicator_code', indicator_code, 'indicator_name', indicator_name, 'category', category,
+                          'description', description) AS VARCHAR) AS metadata FROM part_seed)""", f"""slots AS (
+  SELECT source_id, ('0x' || substr(md5(word), 1, 8))::BIGINT % 32 AS slot, count(*) AS tf
+  FROM (SELECT source_id, unnest({tokens('text')}) AS word FROM embedded) GROUP BY ALL)""")
 
 
 def fused(name: str = "fused") -> list[str]:
@@ -658,13 +699,18 @@ sql("doc_topic_edges", """
 SELECT DISTINCT doc_id, topic FROM (SELECT doc_id, unnest(string_split(topics, ';')) AS topic FROM docs)
 UNION ALL SELECT DISTINCT '', unnest(string_split(topics, ';')) FROM docs""", CATALOGUE_DOCS)
 sql("graph_upsert", """
-SELECT 'node' AS kind, type AS label, count(*) AS n, count(*) FILTER (WHERE type = 'Country') AS n_renamed
-FROM nodes GROUP BY type
+SELECT 'node' AS kind, 'Country' AS label, country_code AS id, 'The ' || country_code AS name, '' AS target,
+       'code=' || country_code || '|income_group=' || income_group || '|name=The ' || country_code || '|region=' || region AS properties
+FROM dim_countries
 UNION ALL
-SELECT 'edge', rel, count(*), 0 FROM (
-  SELECT * FROM edges UNION
+SELECT 'node', type, id, coalesce(indicator_name, title, id), '', properties
+FROM nodes LEFT JOIN dim_indicators i ON type = 'Indicator' AND id = i.indicator_code
+LEFT JOIN docs d ON type = 'Document' AND id = d.doc_id WHERE type <> 'Country'
+UNION ALL
+SELECT 'edge', rel, src_type || ':' || src, '', dst_type || ':' || dst, '' FROM (
+  SELECT src_type, src, rel, dst_type, dst FROM edges UNION
   SELECT 'Country', 'NATION_' || s_nationkey, 'HAS_INDICATOR', 'Indicator', 'P' || s_suppkey FROM supplier
-  WHERE 'P' || s_suppkey IN (SELECT indicator_code FROM dim_indicators)) GROUP BY rel""", *GRAPH)
+  WHERE 'P' || s_suppkey IN (SELECT indicator_code FROM dim_indicators))""", *GRAPH)
 sql("lineage_paths", """
 SELECT a.conv_id || ':' || a.turn AS message, b.conv_id || ':' || b.turn AS upstream
 FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn IN (a.turn - 1, a.turn - 2)
@@ -757,14 +803,14 @@ NODE_PROPS = """node_props AS (
   UNION ALL SELECT 'Document', doc_id, NULL, NULL, NULL, NULL, NULL, title, abstract FROM docs)"""
 
 
-def ranked(both: str, dropped: str, k: int) -> list[str]:
+def ranked(both: str, dropped: str, k: int, dedupe: bool = True) -> list[str]:
     return [
         both,
         f"""ranked AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, part, place) AS rank FROM (
     SELECT *, {WEIGHT} AS score FROM (
       SELECT *, row_number() OVER (PARTITION BY query_id, type, id ORDER BY part, place) AS seen FROM both_nodes)
-    WHERE seen = 1 AND {dropped})) WHERE rank <= {k})""",
+    WHERE {"seen = 1 AND " if dedupe else ""}{dropped})) WHERE rank <= {k})""",
     ]
 
 
@@ -817,9 +863,10 @@ sql("fact_lines", "SELECT query_id, node_rank, country_no, CAST(year AS BIGINT)
   FROM ranked r, range(2) t(k) WHERE r.type = 'Indicator')"""))
 
 # The whole batch: the anchors come from the fused hits and show the properties found there.
-RETRIEVAL = [
-    *GRAPH, CHAIN, INDICATOR_ROWS, COUNTRY_ROWS, PART_QUERIES.replace("queries AS", "raw_queries AS"),
-    f"""queries AS (
+def retrieval(name: str, raw_queries: str, asked: str, dedupe: bool = True, years_later: int = 0) -> None:
+    ctes = [
+        *GRAPH, CHAIN, INDICATOR_ROWS, COUNTRY_ROWS, raw_queries,
+        f"""queries AS (
   SELECT query_id, string_agg(phrase, ' ' ORDER BY place) AS query, any_value(raw) AS raw FROM (
     SELECT query_id, query AS raw, query AS phrase, 0 AS place FROM raw_queries
     UNION ALL
@@ -827,31 +874,49 @@ RETRIEVAL = [
       SELECT query_id, query, rule_no, unnest(range(len(synonyms))) AS s, unnest(synonyms) AS phrase
       FROM raw_queries, (SELECT row_number() OVER () AS rule_no, * FROM (VALUES {RULES}) t(term, synonyms))
       WHERE contains(lower(query), term)) WHERE NOT contains(lower(query), lower(phrase))) GROUP BY query_id)""",
-    corpus_words("part_seed", "indicator_code", fv.SEARCH_FIELDS), asked_words("queries", fv.SEARCH_FIELDS),
-    *ranking(fv.SEARCH_FIELDS, 15, True), *fused("anchors"), *expansion(50), NODE_PROPS,
-    *ranked("""both_nodes AS (
+        corpus_words("part_seed", "indicator_code", fv.SEARCH_FIELDS), asked_words("queries", fv.SEARCH_FIELDS),
+        *ranking(fv.SEARCH_FIELDS, 15, True), *fused("anchors"), *expansion(50), NODE_PROPS,
+        *ranked("""both_nodes AS (
   SELECT query_id, 0 AS part, rank AS place, type, id FROM anchors
-  UNION ALL SELECT query_id, 1, place, type, id FROM expanded)""", "true", 70),
-    """shown AS (
+  UNION ALL SELECT query_id, 1, place, type, id FROM expanded)""", "true", 70, dedupe),
+        """shown AS (
   SELECT r.query_id, r.rank, r.type, r.id, a.props.indicator_name AS name, a.props.description AS description,
          a.props.category AS category, NULL::VARCHAR AS region, NULL::VARCHAR AS income_group, NULL::VARCHAR AS title, NULL::VARCHAR AS content
   FROM ranked r JOIN anchors a ON r.query_id = a.query_id AND r.type = a.type AND r.id = a.id WHERE r.part = 0
   UNION ALL
   SELECT r.query_id, r.rank, r.type, r.id, p.name, p.description, p.category, p.region, p.income_group, p.title, p.content
   FROM ranked r JOIN node_props p ON r.type = p.type AND r.id = p.id WHERE r.part = 1)""",
-    BLOCKS, CONTEXTS,
-    *facts(f"""fact_asked AS (
-  SELECT r.query_id, r.rank AS node_rank, r.id AS indicator_code, ({COMPARISON.replace('query', 'q.raw')}) AS is_comparison,
-         CAST(NULL AS INTEGER) AS year, 0 AS country_no, 'VNM' AS country_code
-  FROM ranked r JOIN queries q ON r.query_id = q.query_id WHERE r.type = 'Indicator')"""),
-]
-sql("retrieve_context", f"""
+        BLOCKS, CONTEXTS,
+        *[cte.replace("f.period_start", f"CAST(f.period_start + INTERVAL {years_later} YEAR AS DATE)") if cte == NAMED else cte
+          for cte in facts(asked)],
+    ]
+    sql(name, f"""
 SELECT q.query_id, q.raw AS query,
        coalesce(c.context || coalesce((SELECT chr(10) || chr(10) || '{fv.FACTS_HEADING}' || chr(10)
          || string_agg(line, chr(10) ORDER BY node_rank, country_no, year) FROM fact_lines f WHERE f.query_id = q.query_id), ''),
          {text(fv.NO_CONTEXT_MESSAGE)}) AS context,
        (SELECT count(*) FROM ranked r WHERE r.query_id = q.query_id) AS n_nodes
-FROM queries q LEFT JOIN contexts c ON q.query_id = c.query_id""", *RETRIEVAL)
+FROM queries q LEFT JOIN contexts c ON q.query_id = c.query_id""", *ctes)
+
+retrieval("retrieve_context", PART_QUERIES.replace("queries AS", "raw_queries AS"), f"""fact_asked AS (
+  SELECT r.query_id, r.rank AS node_rank, r.id AS indicator_code, ({COMPARISON.replace('query', 'q.raw')}) AS is_comparison,
+         CAST(NULL AS INTEGER) AS year, 0 AS country_no, 'VNM' AS country_code
+  FROM ranked r JOIN queries q ON r.query_id = q.query_id WHERE r.type = 'Indicator')""")
+retrieval("retrieve_facts", PART_QUERIES.replace("queries AS", "plain_queries AS") + """,
+raw_queries AS (
+  SELECT query_id, query || CASE query_id % 4
+           WHEN 0 THEN ' of nation_' || (query_id % 25) || ' and nation_' || ((query_id + 5) % 25) || ' compare'
+           WHEN 1 THEN ' of nation_' || (query_id % 25) || ' 2005' WHEN 2 THEN ' of nation_' || (query_id % 25) ELSE '' END AS query
+  FROM plain_queries)""", f"""mentions AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY n) - 1 AS country_no, 'NATION_' || n AS country_code FROM (
+    SELECT query_id, query_id % 25 AS n FROM queries WHERE query_id % 4 < 3
+    UNION SELECT query_id, (query_id + 5) % 25 FROM queries WHERE query_id % 4 = 0)
+), fact_asked AS (
+  SELECT r.query_id, r.rank AS node_rank, r.id AS indicator_code, ({COMPARISON.replace('query', 'q.raw')}) AS is_comparison,
+         CASE WHEN q.query_id % 4 = 1 THEN 2005 END AS year, country_no, country_code
+  FROM ranked r JOIN queries q ON r.query_id = q.query_id JOIN mentions m ON m.query_id = r.query_id
+  WHERE r.type = 'Indicator')""", dedupe=False, years_later=10)
+
 
 # --- Chat ------------------------------------------------------------------------------------------
 
@@ -906,8 +971,7 @@ GROUP BY ALL""", f"timed AS (SELECT {windowed('1 hour')}, value FROM events)",
     "bounds AS (SELECT * FROM (VALUES " + ", ".join(
         f"(CAST({lo} AS DOUBLE), CAST({hi} AS DOUBLE))" for lo, hi in zip([0, *BOUNDS[:-1]], BOUNDS)) + ") t(low, high))")
 
-# The streamed metrics give the windows that end before the last event less the watermark's delay.
-CLOSED = "WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'"
+# The streamed metrics end with all windows, those that are still open included.
 for streamed, batch in (("stream_rate_per_minute", "rate_per_minute"), ("stream_p95_window", "p95_window"),
                         ("stream_increase_5m", "increase_5m")):
-    ORACLE[streamed] = f"SELECT * FROM ({ORACLE[batch]}) {CLOSED}"
+    ORACLE[streamed] = ORACLE[batch]

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gaugeline.sources.keyed import write_keyed
+from gaugeline.sources.versions import drop_versions
+
 EVENT_SCHEMA = (
     "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 )
@@ -68,3 +71,22 @@ def run_totals(
     )
     query.awaitTermination()
     return query
+
+
+def run_updates(
+    stream: DataFrame, metric: Callable[[DataFrame], DataFrame], folder: str, keys: list[str], checkpoint: str,
+    buckets: int = 16,
+) -> StreamingQuery:
+    """Process what has arrived, replacing in a keyed table every window that changed.
+
+    ``keys`` names a row of the metric. A changed window comes with all its
+    events so far, so replacing it is right however often a batch is repeated
+    after a failure, and the table holds open windows as well as closed ones. The
+    watermark bounds the state: an event later than that is left out.
+    """
+
+    def replace(changed: DataFrame, _: int) -> None:
+        write_keyed(changed, folder, keys, buckets)
+        drop_versions(changed.sparkSession, folder)
+
+    return run_totals(stream, metric, replace, checkpoint)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeline import fixed_values as fv
-from gaugeline.operators import context, fusion, graph, search, vector
+from gaugeline.operators import cells, context, fusion, graph, search, vector
 from gaugeline.operators.gold import seed_indicators
 
 PROPS = "map<string,string>"
@@ -130,7 +130,7 @@ def test_best_field_boosts_and_misspelling(spark):
 
 @pytest.mark.parametrize("block", [2000, 3])
 def test_nearest_matches_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(vector, "QUERY_BLOCK", block)
+    monkeypatch.setattr(cells, "QUERIES_AT_ONCE", block)
     rng = np.random.default_rng(5)
     data = rng.normal(size=(200, 16)).astype("float32")
     data[50] = data[10]  # a tie, broken by id
@@ -149,7 +149,7 @@ def test_nearest_matches_brute_force(spark, monkeypatch, block):
 
 
 def test_nearest_with_text_ids_and_small_parts(spark, monkeypatch):
-    monkeypatch.setattr(vector, "BLOCK_CELLS", 40)
+    monkeypatch.setattr(cells, "BLOCK", 7)
     rows = spark.createDataFrame(
         [(f"r{i:02d}", [1.0, float(i % 7)]) for i in range(50)], "name string, embedding array<float>").repartition(3)
     queries = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0])], "query_id string, embedding array<float>")

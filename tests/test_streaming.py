@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeline.operators import metrics
-from gaugeline.streaming.events import read_event_stream, run_available, run_totals, with_event_time
+from gaugeline.sources import keyed
+from gaugeline.streaming.events import read_event_stream, run_available, run_totals, run_updates, with_event_time
 
 SF = "/root/testdata/sf0.001"
 BOUNDS = [5.0, 10.0, 25.0, 50.0, 100.0, 200.0]
@@ -59,6 +60,39 @@ def test_totals_are_updated(spark, arrivals, tmp_path):
     assert seen == wanted
 
 
+KEYS = {
+    "rate": ["window_start", "event_type"], "errors": ["window_start"], "increase": ["window_start", "event_type"],
+    "quantile": ["window_start"], "approximate": ["window_start"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(KEYS))
+def test_updates_hold_all_windows_also_after_restarts(spark, tmp_path, name):
+    """Nothing closes the last windows; a batch that is run again after a failure changes nothing."""
+    folder, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+    events = spark.read.parquet(f"{SF}/events.parquet").filter("event_id < 4000")
+    n = events.count()
+    for i in range(4):
+        events.filter((F.col("event_id") >= n * i // 4) & (F.col("event_id") < n * (i + 1) // 4)).coalesce(1).write.mode("append").parquet(folder)
+        if i == 0:
+            continue
+        # Two files wait at the first run and are two micro-batches.
+        run_updates(read_event_stream(spark, folder, watermark="60 days", max_files=1), METRICS[name], out, KEYS[name], checkpoint)
+    wanted = METRICS[name](with_event_time(events))
+    got = keyed.read_table(spark, out)
+    assert got.count() == wanted.count() > 0 and got.exceptAll(wanted).count() == 0
+    again = METRICS[name](with_event_time(events.filter("event_id >= 1000")))
+    keyed.write_keyed(wanted.join(again.select(*KEYS[name]), KEYS[name], "left_semi").select(*got.columns), out, KEYS[name])
+    assert keyed.read_table(spark, out).exceptAll(wanted).count() == 0
+
+
+def test_updates_of_nothing(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    spark.read.parquet(f"{SF}/events.parquet").limit(0).coalesce(1).write.parquet(folder)
+    run_updates(read_event_stream(spark, folder), METRICS["rate"], str(tmp_path / "out"), KEYS["rate"], str(tmp_path / "cp"))
+    assert not keyed.versions(spark, str(tmp_path / "out")) or keyed.read_table(spark, str(tmp_path / "out")).count() == 0
+
+
 def test_late_events_are_left_out(spark, tmp_path):
     folder, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
 
