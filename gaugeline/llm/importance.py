@@ -2,9 +2,8 @@
 
 The words and word pairs of target texts and of all texts are counted in hash
 buckets. A text's weight is the ratio of its likelihoods under the two bucket
-models, taken per n-gram so that long texts are not favoured, to the power of a
-text of ``LENGTH`` n-grams. Adding Gumbel noise to the log weights and keeping
-the ``k`` largest samples ``k`` documents without replacement by weight.
+models. Adding Gumbel noise to the log weights and keeping the ``k`` largest
+samples ``k`` documents without replacement by weight.
 """
 
 from __future__ import annotations
@@ -21,10 +20,9 @@ from gaugeline.session import materialize
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
-LENGTH = 100
 MAX_TARGETS = 20_000  # target texts, whole, chosen by a hash of the id
 KEEP_SHARE = 0.85
-NO_WORDS = -1e6  # log weight of a text without a word
+NO_WORDS = -1e9  # log weight of a text without a word
 KEY_UNIT = 1 << 24  # keys are compared as whole multiples of 1 / KEY_UNIT
 BINS = 4096
 
@@ -53,8 +51,8 @@ def bucket_counts(texts: DataFrame) -> DataFrame:
 
 def target_texts(docs: DataFrame, target_ids: DataFrame, most: int = MAX_TARGETS) -> DataFrame:
     """The texts of at most ``most`` of ``target_ids`` (doc_id). The stored ids are few enough to move instead of the texts."""
-    ids = target_ids.where("doc_id is not null").select("doc_id", F.lit(0).alias("all")).distinct()
-    chosen = materialize(hash_sample(ids, "all", most).select("doc_id"), "targets")
+    ids = target_ids.where("doc_id is not null").select("doc_id").distinct()
+    chosen = materialize(hash_sample(ids, None, most), "targets")
     return docs.join(chosen, "doc_id", "left_semi").select("text")
 
 
@@ -108,13 +106,15 @@ def keep_largest(rows: DataFrame, key: str, k: int, kept: str = "kept") -> DataF
 
 def resample(
     docs: DataFrame, target_ids: DataFrame, keep_share: float = KEEP_SHARE, seed: int = 1, max_targets: int = MAX_TARGETS,
+    length: int | None = None,
 ) -> DataFrame:
     """Per document: doc_id, n_grams, log_weight, kept; ``keep_share`` of all rows are kept.
 
     The target model comes from at most ``max_targets`` texts of ``target_ids`` (doc_id);
     the raw model from all texts. Without a target all weights are equal. A
     text without a word (or null) has the weight ``NO_WORDS``, so it is kept
-    last. Equal ids get equal noise. Extra columns are not read; an empty table gives an empty result.
+    last. ``length`` takes every text as if it had so many n-grams, so that long texts do not
+    outweigh short ones; by default the weight is that of the whole text. Equal ids get equal noise, and so do null ids. Extra columns are not read; an empty table gives an empty result.
     """
     target = target_texts(docs, target_ids, max_targets)
     ratios = np.zeros(BUCKETS) if target.isEmpty() else log_ratios(target, docs)
@@ -127,7 +127,7 @@ def resample(
                 row, bucket = ngrams(data, starts)
                 count[first:end] = np.bincount(row, minlength=end - first)
                 total[first:end] = np.bincount(row, weights=shared.value[bucket], minlength=end - first)
-            weight = np.where(count > 0, LENGTH * total / np.maximum(count, 1), NO_WORDS)
+            weight = np.where(count > 0, total if length is None else length * total / np.maximum(count, 1), NO_WORDS)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), pa.array(weight)], ["doc_id", "n_grams", "log_weight"])
 
     doc_type = docs.schema["doc_id"].dataType.simpleString()

@@ -296,3 +296,30 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     shared = docs.join(again, "doc_id", "left_semi").join(gone, "doc_id", "left_anti")
     first = top_rows(shared, ["doc_id"], [F.col("text").asc_nulls_last()], 1, "__place")
     return once.select(*docs.columns).unionByName(first.select(*docs.columns))
+
+
+# Classes at three words and 85 of 100, where ids are unique: shingle lists, a join on common shingles, reachability.
+SQL = r"""
+WITH RECURSIVE listed AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM listed
+), members AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(a.n + b.n) AS n
+  FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM common WHERE 100 * c >= 85 * (n - c) UNION ALL SELECT b, a FROM common WHERE 100 * c >= 85 * (n - c)
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), smallest AS (
+  SELECT a, min(b) AS low FROM reach GROUP BY a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
+       doc_id <= coalesce(low, doc_id) AS kept
+FROM sets LEFT JOIN smallest ON doc_id = a
+"""

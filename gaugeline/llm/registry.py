@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.llm import (
-    hosts, importance, language_id, merkle, mixing, packing, quality, shards, syncmers, token_files, toxicity, whitening,
+    hosts, importance, language_id, merkle, mixing, near_dedup, packing, quality, shards, syncmers, token_files, toxicity, whitening,
 )
-from gaugeline.llm.near_dedup import near_classes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,7 +37,7 @@ def op5_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_classes(table(spark, sf_dir, "documents"), size=3, percent=85)
+    return near_dedup.near_classes(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,8 +87,9 @@ QUERIES = {
 }
 
 ORACLE = {
-    "op7_url_filter": hosts.SQL,
     "op3_source_mix": mixing.SQL,
+    "op6_minhash_dedup": near_dedup.SQL,
+    "op7_url_filter": hosts.SQL,
     "op10_quality_rules": quality.SQL,
     "op11_rendezvous_shards": shards.SQL,
     "op12_merkle_manifest": merkle.SQL,

@@ -11,19 +11,23 @@ from gaugeline.session import materialize
 SPARE = 2.0
 
 
-def hash_sample(ids: DataFrame, key: str, most: dict | int) -> DataFrame:
+def hash_sample(ids: DataFrame, key: str | None, most: dict | int) -> DataFrame:
     """At most ``most`` rows (by value of ``key``, or the same for all) of (doc_id, key), which must be distinct.
+    Without a ``key`` all rows are one group.
 
     The rows are those with the smallest hashes of the id. A first threshold
     from the number of rows of each key lets about ``SPARE`` times as many
     through, so a key with a third of all rows is cut before anything is moved.
     """
+    order = [F.shiftrightunsigned(F.xxhash64("doc_id"), 11), F.col("doc_id")]
+    share = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53)
+    if key is None:  # one group, whose size is one number
+        few = ids.where(share * ids.count() < most * SPARE + 50).withColumn("__group", F.lit(0))
+        return top_rows(few, ["__group"], order, most, "__place").drop("__group", "__place")
     sizes = materialize(ids.groupBy(key).agg(F.count("*").alias("__rows")), "sample-sizes")
     limit = F.lit(most) if isinstance(most, int) else F.create_map(*[F.lit(x) for pair in most.items() for x in pair])[F.col(key)]
-    share = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53)
     few = ids.join(sizes, key).where(share * F.col("__rows") < limit * SPARE + 50).drop("__rows")
     largest = most if isinstance(most, int) else max(most.values())
-    order = [F.shiftrightunsigned(F.xxhash64("doc_id"), 11), F.col("doc_id")]
     return top_rows(few, [key], order, largest, "__place").where(F.col("__place") <= limit).drop("__place")
 
 

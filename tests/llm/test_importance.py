@@ -32,6 +32,8 @@ def test_weights_by_brute_force(spark):
     rows = corpus()
     good = list(range(0, 120, 2))
     found = {r["doc_id"]: r for r in imp.resample(frame(spark, rows), spark.createDataFrame([(i,) for i in good], "doc_id bigint")).collect()}
+    even = {r["doc_id"]: r for r in imp.resample(
+        frame(spark, rows), spark.createDataFrame([(i,) for i in good], "doc_id bigint"), length=100).collect()}
     raw, target = Counter(), Counter()
     for i, text, *_ in rows:
         raw += bag(text)
@@ -46,10 +48,12 @@ def test_weights_by_brute_force(spark):
         if not grams:
             assert found[i]["log_weight"] == imp.NO_WORDS
             continue
-        mean = sum(n * (log_p(target, b) - log_p(raw, b)) for b, n in grams.items()) / sum(grams.values())
-        assert found[i]["log_weight"] == pytest.approx(imp.LENGTH * mean, abs=1e-6)
+        ratio = sum(n * (log_p(target, b) - log_p(raw, b)) for b, n in grams.items())
+        assert found[i]["log_weight"] == pytest.approx(ratio, abs=1e-6)
+        assert even[i]["log_weight"] == pytest.approx(100 * ratio / sum(grams.values()), abs=1e-6)
         assert found[i]["n_grams"] == sum(grams.values())
-    assert np.mean([found[i]["kept"] for i in range(120)]) > 0.95
+    assert np.mean([even[i]["kept"] for i in range(120)]) > 0.95
+    assert np.mean([found[i]["kept"] for i in range(120)]) > 0.9  # long texts of words that no target has fall behind
     assert sum(r["kept"] for r in found.values()) == int(len(rows) * imp.KEEP_SHARE)
 
 
@@ -62,6 +66,16 @@ def test_keep_largest_equals_a_sort(spark):
         assert not kept or not left or min(kept) >= max(left)
 
 
+def test_repeated_ids_at_the_cut(spark):
+    """Equal ids have equal noise; equal texts of one id tie, and as many rows are kept as asked for."""
+    rows = [(n % 30, prose(n % 30, 20), "en", "a") for n in range(300)] + [(None, prose(1, 9), "en", "a")] * 40
+    good = spark.createDataFrame([(n,) for n in range(0, 30, 3)], "doc_id bigint")
+    for share in (0.1, 0.5, 0.93):
+        found = imp.resample(frame(spark, rows), good, keep_share=share).collect()
+        assert len(found) == 340 and sum(r["kept"] for r in found) == int(340 * share)
+    assert imp.target_texts(frame(spark, rows), good, 4).count() == 40  # four ids, ten equal rows each
+
+
 def test_gumbel_sampling_follows_the_weights(spark):
     # Of two equal halves, one with weight e times the other, the largest key lies in the first with p = e / (1 + e).
     wins = spark.range(4000).select(

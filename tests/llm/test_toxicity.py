@@ -71,6 +71,48 @@ def test_risk_is_kept_from_going_below_zero():
     assert bias < 0 < bias + weights[0]
 
 
+def risk(weights, bias, kind, matrix, prior):
+    """The non-negative risk by its definition: logistic loss, mean by mean."""
+    logit = matrix @ weights + bias
+    as_toxic, as_clean = np.log1p(np.exp(-logit)), np.log1p(np.exp(logit))
+    clean = as_clean[kind == 0].mean() - prior * as_clean[kind == 1].mean()
+    return prior * as_toxic[kind == 1].mean() + max(clean, 0.0)
+
+
+def test_training_reaches_the_least_risk():
+    """Against plain descent with numeric slopes, where the estimate stays above zero."""
+    chance = np.random.default_rng(8)
+    kind = np.array([1] * 60 + [0] * 300)
+    toxic = (kind == 1) | (chance.random(360) < 0.2)
+    matrix = (chance.random((360, 4)) < np.where(toxic[:, None], [0.7, 0.5, 0.3, 0.2], [0.05, 0.1, 0.1, 0.15])).astype(float)
+    row, column = np.nonzero(matrix)
+    weights, bias = toxicity._train(kind, row, column, 4, 0.2)
+    theta = np.array([0.0] * 4 + [np.log(0.25)])
+    for _ in range(4000):
+        slope = np.array([(risk((theta + e)[:4], (theta + e)[4], kind, matrix, 0.2) - risk((theta - e)[:4], (theta - e)[4], kind, matrix, 0.2)) / 2e-5
+                          for e in np.eye(5) * 1e-5])
+        theta = theta - 0.5 * slope
+        theta[4] = min(theta[4], np.log(0.25))
+    assert risk(weights, bias, kind, matrix, 0.2) <= risk(theta[:4], theta[4], kind, matrix, 0.2) + 2e-3
+
+
+@pytest.mark.parametrize("prior", [0.03, 0.1, 0.3])
+def test_the_prior_follows_from_the_two_samples(prior):
+    chance = np.random.default_rng(5)
+    kind = np.array([1] * 1000 + [0] * 4000)
+    toxic = (kind == 1) | (chance.random(5000) < prior)
+    matrix = chance.random((5000, 30)) < np.where(toxic[:, None], 0.35, 0.02)
+    row, column = np.nonzero(matrix)
+    assert toxicity.estimate_prior(kind, row, column, 30) == pytest.approx(prior, rel=0.35)
+    assert 0.001 <= toxicity.estimate_prior(kind[:3], row[row < 3], column[row < 3], 30) <= 0.5
+
+
+def test_the_samples_are_bounded_by_rows(spark):
+    rows = [(n % 50, f"{prose(n, 6)} {n}", "en", "a") for n in range(1500)]
+    found = toxicity.samples(frame(spark, rows), label_frame(spark, [(n, 1) for n in range(0, 50, 2)]), 20, 30).groupBy("kind").count().collect()
+    assert {r["kind"]: r["count"] for r in found} == {1: 20, 0: 30}
+
+
 def test_slices_do_not_matter(spark):
     rows, labels = corpus(200)
     model = fit(frame(spark, rows), label_frame(spark, labels))
