@@ -862,6 +862,13 @@ sql("fact_lines", "SELECT query_id, node_rank, country_no, CAST(year AS BIGINT)
          'NATION_' || ((r.query_id + 5 * k) % 25) AS country_code
   FROM ranked r, range(2) t(k) WHERE r.type = 'Indicator')"""))
 
+
+def shifted(named: str, years: int) -> str:
+    """The named facts, dated some years later."""
+    later = f"CAST(f.period_start + INTERVAL {years} YEAR AS DATE)"
+    return named.replace(", f.period_start,", f", {later} AS period_start,").replace("FROM f.period_start)", f"FROM {later})")
+
+
 # The whole batch: the anchors come from the fused hits and show the properties found there.
 def retrieval(name: str, raw_queries: str, asked: str, dedupe: bool = True, years_later: int = 0) -> None:
     ctes = [
@@ -887,8 +894,7 @@ def retrieval(name: str, raw_queries: str, asked: str, dedupe: bool = True, year
   SELECT r.query_id, r.rank, r.type, r.id, p.name, p.description, p.category, p.region, p.income_group, p.title, p.content
   FROM ranked r JOIN node_props p ON r.type = p.type AND r.id = p.id WHERE r.part = 1)""",
         BLOCKS, CONTEXTS,
-        *[cte.replace("f.period_start", f"CAST(f.period_start + INTERVAL {years_later} YEAR AS DATE)") if cte == NAMED else cte
-          for cte in facts(asked)],
+        *[shifted(cte, years_later) if cte == NAMED and years_later else cte for cte in facts(asked)],
     ]
     sql(name, f"""
 SELECT q.query_id, q.raw AS query,
@@ -898,6 +904,7 @@ SELECT q.query_id, q.raw AS query,
        (SELECT count(*) FROM ranked r WHERE r.query_id = q.query_id) AS n_nodes
 FROM queries q LEFT JOIN contexts c ON q.query_id = c.query_id""", *ctes)
 
+
 retrieval("retrieve_context", PART_QUERIES.replace("queries AS", "raw_queries AS"), f"""fact_asked AS (
   SELECT r.query_id, r.rank AS node_rank, r.id AS indicator_code, ({COMPARISON.replace('query', 'q.raw')}) AS is_comparison,
          CAST(NULL AS INTEGER) AS year, 0 AS country_no, 'VNM' AS country_code
