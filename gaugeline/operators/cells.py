@@ -79,8 +79,8 @@ def _centres(rows: DataFrame, count: int, dimension: int, cells: int | None) ->
     length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda total, c: total + c.cast("double") * c.cast("double")))
     some = rows.filter(F.shiftrightunsigned(F.xxhash64("id"), 11) / float(1 << 53) < share).withColumn("length", length).filter("length > 0")
     features = materialize(some.select(F.transform("embedding", lambda c: c.cast("double") / F.col("length")).alias("v")), "cell-sample")
-    if features.isEmpty():
-        return np.zeros((1, dimension))
+    if wanted < 2 or features.isEmpty():
+        return np.zeros((1, dimension))  # one cell around the origin
     model = KMeans(k=wanted, seed=7, maxIter=5, initMode="random", featuresCol="f").fit(features.select(array_to_vector("v").alias("f")))
     return np.array([np.asarray(centre) for centre in model.clusterCenters()])
 
