@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,7 +77,29 @@ def new_table_path(spark: SparkSession, label: str) -> str:
     The subfolder can be removed once the application is done.
     """
     application = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/{application}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{application}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def table_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that are materialised inside, once the block is left.
+
+    What the block is for must have been written or collected by then, to a
+    path that was made outside of it; a DataFrame that still reads such a table fails.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for name in _scopes.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

@@ -84,3 +84,23 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_no_query_pairs_everything_with_everything(spark, name):
     text = plan(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_tables_of_a_scope_are_removed_when_it_ends(spark, tmp_path):
+    import os
+
+    from gaugeline.session import materialize, new_table_path, table_scope
+
+    def stored():
+        folder = os.path.dirname(new_table_path(spark, "x"))
+        return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+    kept = materialize(spark.range(3).toDF("n"), "kept")
+    before = stored()
+    with table_scope(spark):
+        inner = materialize(spark.range(5).toDF("n"), "inner")
+        with table_scope(spark):
+            materialize(inner, "innermost")
+        assert len(stored() - before) == 1
+        inner.write.parquet(str(tmp_path / "out"))
+    assert stored() == before and kept.count() == 3 and spark.read.parquet(str(tmp_path / "out")).count() == 5
