@@ -1,9 +1,11 @@
+import os
 from collections import Counter
 
 import duckdb
 
 import corpus_pipeline
 from gaugeline.llm import quality
+from gaugeline.session import new_table_path
 from tests.llm.corpora import TABLES, frame, odd_rows, plain_words
 from tests.llm.test_language_id import guesses
 from tests.llm.test_mixing import targets_by_rounds
@@ -79,7 +81,11 @@ def test_each_stage_equals_brute_force_on_what_the_one_before_kept(spark, tmp_pa
 
 
 def test_run_on_the_table(spark):
+    folder = os.path.dirname(new_table_path(spark, "x"))
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
     rows = corpus_pipeline.run(spark, TABLES)
+    # What is left are the stages' results.
+    assert sorted(name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before) == sorted(f"pipeline-{name}" for name, _ in corpus_pipeline.STAGES)
     assert rows.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert rows.count() > 0
 
