@@ -54,12 +54,7 @@ def text_url(pdf_url: Column) -> Column:
 
 def slices(text: Column, width: int) -> Column:
     """Consecutive pieces of ``width`` characters, the last one shorter."""
-    count = F.ceil(F.length(text) / F.lit(width)).cast("int")
-    pieces = F.transform(
-        F.sequence(F.lit(0), count - 1),
-        lambda i: F.substring(text, i * width + 1, F.lit(width)),
-    )
-    return F.when(F.length(text) > 0, pieces).otherwise(F.array().cast("array<string>"))
+    return F.regexp_extract_all(or_empty(text), F.lit("(?s).{1,%d}" % width), F.lit(0))
 
 
 def sentences(text: Column) -> Column:

@@ -64,6 +64,25 @@ def test_random_texts(spark, size, overlap):
         assert got.get(doc_id, []) == wanted
 
 
+@pytest.mark.parametrize("block", [1, 3])
+def test_chunks_do_not_depend_on_the_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(chunking, "BOUND_BLOCK", block)
+    rng = random.Random(5)
+    texts = [(i, random_text(rng)) for i in range(60)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {}
+    for row in chunking.chunk_documents(df, size=90, overlap=60).orderBy("doc_id", "chunk_index").collect():
+        got.setdefault(row["doc_id"], []).append(row["text"])
+    assert got == {i: c for i, text in texts if (c := expected_chunks(text, 90, 60))}
+
+
+@pytest.mark.parametrize("line", ["é" * 37 + ". ", "word and more words here.\n"])
+def test_very_long_text(spark, line):
+    text = line * (2_000_000 // len(line))
+    rows = chunks_of(spark, text)
+    assert [r["text"] for r in rows] == expected_chunks(text, 1500, 200)
+
+
 def chunks_of(spark, *texts):
     df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "doc_id string, text string")
     return chunking.chunk_documents(df).orderBy("doc_id", "chunk_index").collect()
