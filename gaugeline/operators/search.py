@@ -19,12 +19,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline import fixed_values as fv
-from gaugeline.functions.text import counted, words
+from gaugeline.functions.text import counted, let, words
 from gaugeline.operators.scale import top_rows
 from gaugeline.session import materialize
 
 # A word that no tokenizer produces; it carries the row count of a field.
 ALL_ROWS = ""
+# Longest known word that is joined on strings with two characters deleted. Words
+# that only one edit can reach have at most six characters and must be among these.
+SHORT_WORD = 12
 
 
 def allowed_edits(word: Column) -> Column:
@@ -106,6 +109,55 @@ def deletion_keys(word: Column, edits: Column) -> Column:
     return F.concat(F.array(F.xxhash64(word)), one, two)
 
 
+def one_deleted(part: Column) -> Column:
+    """Every string left after deleting one character."""
+    return F.when(F.length(part) > 0, F.transform(
+        F.sequence(F.lit(1), F.length(part)),
+        lambda i: F.concat(F.substring(part, F.lit(1), i - 1), F.substring(part, i + 1, F.length(part))),
+    )).otherwise(F.array().cast("array<string>"))
+
+
+def half_keys(word: Column) -> Column:
+    """Hashes of each half of a long known word, whole and with one character deleted.
+
+    One half is within one edit of what a word two edits away has in its place:
+    two plain edits cannot both fall into both halves, and a swap across the
+    middle is one replaced character on either side.
+    """
+    length = F.length(word)
+    middle = F.floor(length / 2).cast("int")
+
+    def keys(side: int, part: Column) -> Column:
+        return let(part, lambda x: F.transform(
+            F.array_append(one_deleted(x), x), lambda s: F.xxhash64(length, F.lit(side), s)))
+
+    return F.concat(
+        keys(0, F.substring(word, F.lit(1), middle)), keys(1, F.substring(word, middle + 1, length)))
+
+
+def half_keys_within_two(word: Column) -> Column:
+    """The keys by which ``half_keys`` of any long word within two edits can be met."""
+
+    def keys(length: Column, side: int, half: Column) -> Column:
+        def part(width: Column) -> Column:
+            start = F.lit(1) if side == 0 else F.length(word) - width + 1
+            return F.substring(word, start, width)
+
+        # A half meets a shorter part by deleting from itself, a longer one if that gives one up.
+        strings = F.concat(
+            F.array(part(half - 1), part(half)), one_deleted(part(half)),
+            F.when(half < F.length(word), one_deleted(part(half + 1))).otherwise(F.array().cast("array<string>")))
+        return F.transform(strings, lambda s: F.xxhash64(length, F.lit(side), s))
+
+    def both(length: Column) -> Column:
+        middle = F.floor(length / 2).cast("int")
+        return F.concat(keys(length, 0, middle), keys(length, 1, length - middle))
+
+    lengths = F.filter(
+        F.sequence(F.length(word) - 2, F.length(word) + 2), lambda n: n > SHORT_WORD)
+    return F.array_distinct(F.flatten(F.transform(lengths, both)))
+
+
 def swapped(word: Column) -> Column:
     """All strings left after swapping two neighbouring characters."""
     return F.when(
@@ -148,8 +200,10 @@ def match_words(asked: DataFrame, known: DataFrame) -> DataFrame:
 
     Two words within d edits share a string that both reach by deleting at most
     d characters, so candidates come from an equality join on those strings and
-    only they are compared. Both sides are first cut to the lengths that can
-    match at all.
+    only they are compared. Words longer than ``SHORT_WORD`` join on their
+    halves with at most one character deleted, so that a known word has about
+    as many keys as characters. Both sides are first cut to the lengths that
+    can match at all.
     """
     asked = asked.select("field", "word").distinct().withColumn("edits", allowed_edits(F.col("word")))
     known = known.select("field", F.col("word").alias("known_word"), F.length("word").alias("len"))
@@ -165,11 +219,17 @@ def match_words(asked: DataFrame, known: DataFrame) -> DataFrame:
     # Fewest deletions that suffice on this side, given which longer or shorter
     # words may reach a word of this length.
     edits = F.when(F.col("len") <= 1, 0).when(F.col("len") <= 5, 1).otherwise(2)
-    known_keys = near.select(
-        "field", "known_word", F.explode(deletion_keys(F.col("known_word"), edits)).alias("key"))
+    known_keys = near.select("field", "known_word", F.explode(
+        F.when(F.col("len") <= SHORT_WORD, deletion_keys(F.col("known_word"), edits))
+        .otherwise(half_keys(F.col("known_word")))).alias("key"))
+    none = F.array().cast("array<bigint>")
+    near_short = F.length("word") - F.col("edits") <= SHORT_WORD
+    wanted = F.concat(
+        F.when(near_short, deletion_keys(F.col("word"), F.col("edits"))).otherwise(none),
+        F.when(F.length("word") + F.col("edits") > SHORT_WORD, half_keys_within_two(F.col("word"))).otherwise(none))
     # Stored, so that the join is chosen by its size in bytes.
     asked_keys = materialize(matchable.select(
-        "field", "word", "edits", F.explode(deletion_keys(F.col("word"), F.col("edits"))).alias("key")), "asked-keys")
+        "field", "word", "edits", F.explode(wanted).alias("key")), "asked-keys")
     pairs = known_keys.join(asked_keys, ["field", "key"]).select(
         "field", "word", "edits", "known_word").distinct()
     distance = F.when(F.col("word") == F.col("known_word"), 0).otherwise(

@@ -45,7 +45,9 @@ def test_edit_distance(spark):
         assert row["d"] == distance(row["a"], row["b"]), row
 
 
-def test_candidates_miss_no_match(spark):
+@pytest.mark.parametrize("short", [6, search.SHORT_WORD])
+def test_candidates_miss_no_match(spark, monkeypatch, short):
+    monkeypatch.setattr(search, "SHORT_WORD", short)
     rng = random.Random(11)
     asked = sorted({"".join(rng.choices("abc", k=rng.randint(1, 8))) for _ in range(60)})
     known = sorted({"".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(250)})
@@ -61,6 +63,34 @@ def test_candidates_miss_no_match(spark):
     assert got == wanted
 
 
+def edited(rng, word, edits):
+    """``word`` after that many random edits, swaps among them."""
+    for _ in range(edits):
+        i = rng.randrange(len(word) - 1)
+        word = rng.choice([
+            word[:i] + word[i + 1:], word[:i] + rng.choice("abc") + word[i:],
+            word[:i] + rng.choice("abc") + word[i + 1:], word[:i] + word[i + 1] + word[i] + word[i + 2:]])
+    return word
+
+
+def test_long_words_meet_after_two_edits(spark):
+    rng = random.Random(13)
+    pairs = []
+    for n in range(600):
+        word = "".join(rng.choices("abcdefgh", k=rng.randint(9, 40)))
+        pairs.append((word, edited(rng, word, rng.randint(0, 2))))
+    asked = spark.createDataFrame([("f", a) for a, _ in pairs], "field string, word string")
+    known = spark.createDataFrame([("f", k) for _, k in pairs], "field string, word string").distinct()
+    got = {(r["word"], r["known_word"]) for r in search.match_words(asked, known).collect()}
+    assert got >= set(pairs)
+
+
+def test_keys_of_long_words_grow_with_their_length(spark):
+    df = spark.createDataFrame([("x" * 13,), ("ab" * 127,)], "w string")
+    for row in df.select("w", F.size(search.half_keys(F.col("w"))).alias("n")).collect():
+        assert row["n"] == len(row["w"]) + 2
+
+
 # --- BM25 ---------------------------------------------------------------------
 
 
