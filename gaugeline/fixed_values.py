@@ -168,3 +168,10 @@ UUID_DIGITS = r"^[0-9a-f]{32}$"
 MESSAGE_ROLES = ["user", "assistant", "system"]
 RATE_LIMIT_PER_MINUTE = 5
 EMBED_BATCH = 20
+
+# Plausible range of single indicators, by code; None is open.
+INDICATOR_RANGES = [
+    ("FP.CPI.TOTL.ZG", -50.0, 1000.0),
+    ("SP.POP.TOTL", 0.0, None),
+    ("NY.GDP.PCAP.CD", 100.0, 200000.0),
+]

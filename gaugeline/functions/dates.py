@@ -58,3 +58,18 @@ def generate_calendar(
         F.lit(dt.date.fromisoformat(end)).alias("last_day"),
     )
     return calendar_between(span)
+
+
+def register_calendar(spark: SparkSession) -> None:
+    """The calendar as a table function for SQL: ``FROM years, LATERAL calendar(first_day, last_day)``.
+
+    Its body is SQL, so days are made within Spark, one row of bounds in a task; many rows of bounds run side by side.
+    """
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION calendar(first_day DATE, last_day DATE)
+        RETURNS TABLE (date_key INT, full_date DATE, year BIGINT, quarter BIGINT, month BIGINT, month_name STRING,
+                       day_of_week BIGINT, is_weekend BOOLEAN, is_vietnam_holiday BOOLEAN, fiscal_year_vn BIGINT)
+        RETURN SELECT cast(date_format(day, 'yyyyMMdd') AS INT), day, cast(year(day) AS BIGINT),
+                      cast(quarter(day) AS BIGINT), cast(month(day) AS BIGINT), date_format(day, 'MMMM'),
+                      cast(dayofweek(day) AS BIGINT), dayofweek(day) IN (1, 7), false, cast(year(day) AS BIGINT)
+               FROM explode(sequence(first_day, last_day)) AS t(day)""")

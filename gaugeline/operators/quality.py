@@ -153,19 +153,19 @@ def staging_checks(observations: DataFrame, documents: DataFrame | None = None,
     return result
 
 
-def indicator_range_checks(named: DataFrame) -> DataFrame:
-    """Plausible ranges of single indicators, by code, as violation counts."""
-    rules = [
-        ("FP.CPI.TOTL.ZG", -50.0, 1000.0),
-        ("SP.POP.TOTL", 0.0, None),
-        ("NY.GDP.PCAP.CD", 100.0, 200000.0),
-    ]
-    result = None
+def indicator_range_checks(
+    named: DataFrame, rules: Sequence[tuple[str, float | None, float | None]] = tuple(fv.INDICATOR_RANGES),
+) -> DataFrame:
+    """Values outside the plausible range of their indicator, by code; all rules are counted in one pass."""
+    bad = []
     for code, low, high in rules:
-        rows = out_of_range(named.filter(F.col("indicator_code") == code), "value", low, high)
-        part = violations(f"range:{code}", rows)
-        result = part if result is None else result.unionByName(part)
-    return result
+        outside = F.lit(False)
+        if low is not None:
+            outside = outside | (F.col("value") < low)
+        if high is not None:
+            outside = outside | (F.col("value") > high)
+        bad.append(F.count_if((F.col("indicator_code") == code) & outside).alias(f"range:{code}"))
+    return counts_as_rows(named.agg(*bad))
 
 
 def require_passed(checks: DataFrame) -> None:

@@ -32,7 +32,7 @@ from gaugeline.plans import adapt, retrieval
 from gaugeline.plans.adapt import table
 from gaugeline.plans.layers import Layers
 from gaugeline.session import materialize, new_table_path
-from gaugeline.sources import gate, keyed, landing, sinks, tables
+from gaugeline.sources import gate, keyed, landed_pages, landing, sinks, tables
 from gaugeline.streaming.events import read_event_stream, run_updates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,17 @@ def dim_dates(spark, sf):
     return adapt.order_calendar(spark, sf).orderBy("full_date")
 
 
+@query
+def calendar_sql(spark, sf):
+    """The calendar of the years that have orders, from SQL: one call of the table function for each year."""
+    dates.register_calendar(spark)
+    table(spark, sf, "orders").selectExpr("year(o_orderdate) AS y").agg(
+        F.min("y").alias("lo"), F.max("y").alias("hi")).createOrReplaceTempView("calendar_years")
+    return spark.sql("""
+        SELECT c.* FROM (SELECT explode(sequence(lo, hi)) AS y FROM calendar_years),
+             LATERAL calendar(make_date(y, 1, 1), make_date(y, 12, 31)) AS c""")
+
+
 @query
 def fact_load(spark, sf):
     return adapt.order_star(spark, sf)[1].fact
@@ -302,9 +313,28 @@ def dq_ranges(spark, sf):
     ).select("country_code", "year", "value")
 
 
+@query
+def dq_named_ranges(spark, sf):
+    """Violations of three ranges by code, two closed and one open, counted in one pass."""
+    named = serving.named_facts(adapt.order_star(spark, sf)[1])
+    return quality.indicator_range_checks(named, [
+        ("1-URGENT", 50000.0, 300000.0), ("2-HIGH", 1000.0, None), ("3-MEDIUM", 100000.0, 400000.0)])
+
+
 # --- Sinks and verification ---------------------------------------------------
 
 
+@query
+def seed_csv(spark, sf):
+    """Nations kept as CSV with a header line, read back by their schema, beside a dataset ensured to be there."""
+    nation = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    path, empty = new_table_path(spark, "seed"), new_table_path(spark, "ensured")
+    nation.write.csv(path, header=True)
+    seed = tables.read_seed(spark, path, nation.schema)
+    sinks.ensure_dataset(spark, empty, nation.schema)
+    return seed.unionByName(tables.read_dataset(spark, empty))
+
+
 @query
 def publish_counts(spark, sf):
     gold = adapt.order_star(spark, sf)[1]
@@ -436,7 +466,7 @@ def normalise_observations(spark, sf):
     return rows.drop("_ingested_at")
 
 
-def landed_pages(spark, sf) -> DataFrame:
+def search_pages(spark, sf) -> DataFrame:
     """Search pages of 50 documents: one query finds all, a second finds the English ones again."""
     docs = table(spark, sf, "documents")
     record = F.struct(
@@ -462,15 +492,37 @@ def landed_pages(spark, sf) -> DataFrame:
 
 @query
 def normalise_documents(spark, sf):
-    return landing.normalise_documents(landed_pages(spark, sf), max_results=None).drop("_ingested_at")
+    return landing.normalise_documents(search_pages(spark, sf), max_results=None).drop("_ingested_at")
 
 
 @query
 def search_result_cap(spark, sf):
-    capped = landing.normalise_documents(landed_pages(spark, sf), max_results=fv.SEARCH_RESULT_CAP)
+    capped = landing.normalise_documents(search_pages(spark, sf), max_results=fv.SEARCH_RESULT_CAP)
     return capped.select("doc_id", "title", "countries")
 
 
+@query
+def landed_source(spark, sf):
+    """Landed pages read through their own format, conditions on the query left to it."""
+    folder = new_table_path(spark, "landed")
+    landed_pages.write_pages(search_pages(spark, sf), folder)
+    pages = landed_pages.read_landed(spark, folder, 20).filter(F.col("query_no") == 1)
+    return landing.normalise_documents(pages).drop("_ingested_at")
+
+
+@query
+def landed_stream(spark, sf):
+    """Landed pages read as a stream that is started again after more of them arrived."""
+    pages = materialize(search_pages(spark, sf), "pages")
+    folder, stored, checkpoint = (new_table_path(spark, name) for name in ("landed", "pages-read", "progress"))
+    for arrived in ((F.col("query_no") == 0) & (F.col("page") < 10), F.lit(True)):
+        there = landed_pages.read_landed(spark, folder).select("query_no", "page")
+        landed_pages.write_pages(pages.filter(arrived).join(there, ["query_no", "page"], "left_anti"), folder)
+        landed_pages.stream_landed(spark, folder).writeStream.format("parquet").option("path", stored).option(
+            "checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return landing.normalise_documents(tables.read_dataset(spark, stored)).drop("_ingested_at")
+
+
 # --- Text ---------------------------------------------------------------------
 
 
@@ -710,6 +762,19 @@ def hashed_embed(spark, sf):
         "chunk_id", "doc_id", F.col("slot").cast("long").alias("slot"), F.round(F.col("weight").cast("double"), 5).alias("weight"))
 
 
+@query
+def embed_hook(spark, sf):
+    """Parts embedded by a function of the user: characters, blanks and vowels of a text."""
+    parts = table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("text"))
+
+    def embed(texts: list[str]) -> list[list[float]]:
+        return [[len(t), t.count(" "), sum(t.count(v) for v in "aeiou")] for t in texts]
+
+    parts_of = F.transform("embedding", lambda v: v.cast("double"))
+    return vector.embed_with(parts, embed).select(
+        "p_partkey", *[F.get(parts_of, n).alias(name) for n, name in enumerate(("n_chars", "n_blanks", "n_vowels"))])
+
+
 @query
 def rrf_fusion(spark, sf):
     fused = rrf_hits(spark, sf)
@@ -765,6 +830,16 @@ def graph_nodes(spark, sf):
     return nodes.select("type", "id", properties_text(F.col("properties")).alias("properties"))
 
 
+@query
+def graph_node_ids(spark, sf):
+    """Pages resolved to the first of code, name, document and own id that is there."""
+    pages, page = table(spark, sf, "pages"), F.col("page_id")
+    code = F.when(page % 4 == 0, F.concat(F.lit("P"), page.cast("string"))).otherwise("")
+    name = F.when(page % 4 == 1, F.col("url"))
+    doc = F.when(page % 4 == 2, page.cast("string"))
+    return pages.select("page_id", graph.node_id(code, name, doc, F.concat(F.lit("node-"), page.cast("string"))).alias("node"))
+
+
 @query
 def graph_edges(spark, sf):
     return adapt.trade_graph(spark, sf)[1]
@@ -1001,6 +1076,22 @@ def append_messages(spark, sf):
     return known.unionByName(fresh).unionByName(stored)
 
 
+@query
+def stored_messages(spark, sf):
+    """Turns appended to the chat tables in two batches; what is stored, sessions that were opened named alike."""
+    conv = F.col("conv_id")
+    requests = table(spark, sf, "conversations").select(
+        "role", F.when(conv % 3 != 2, F.upper(session_uuid(conv))).otherwise("").alias("session_id"),
+        F.col("text").alias("query"))
+    sessions, messages = new_table_path(spark, "sessions"), new_table_path(spark, "messages")
+    for role in ("user", "assistant"):
+        sinks.append_chat(requests.filter(F.col("role") == role).drop("role"), sessions, messages, role)
+    opened = tables.read_dataset(spark, sessions).select(F.col("id").alias("session_id"), "title")
+    return tables.read_dataset(spark, messages).join(opened, "session_id", "left").select(
+        F.when(F.col("title").isNull(), F.col("session_id")).alias("session_id"), "role", "content",
+        (F.col("title") == F.concat(F.lit("Chat "), F.left("session_id", F.lit(8)))).alias("is_titled"))
+
+
 # --- Event metrics ---------------------------------------------------------------------
 
 

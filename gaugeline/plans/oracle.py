@@ -122,6 +122,7 @@ sql("silver_dedup_raw_keys", f"SELECT {SILVER_COLUMNS} FROM silver", BRONZE,
 sql("dim_countries", "SELECT * FROM dim_countries", *ORDER_GOLD)
 sql("dim_indicators", "SELECT * FROM dim_indicators", *ORDER_GOLD)
 sql("dim_dates", "SELECT * FROM dim_dates ORDER BY full_date", calendar("orders", "o_orderdate"))
+ORACLE["calendar_sql"] = ORACLE["dim_dates"].removesuffix(" ORDER BY full_date")
 sql("fact_load", "SELECT * FROM fact", *ORDER_GOLD)
 sql("fact_load_trade", "SELECT * FROM fact", *TRADE_GOLD)
 
@@ -274,6 +275,14 @@ sql("dq_ranges", """
 SELECT country_code, year, value FROM named
 WHERE indicator_code = '3-MEDIUM' AND (value < 100000 OR value > 400000)""", *ORDER_GOLD, NAMED)
 
+sql("dq_named_ranges", """
+SELECT 'range:1-URGENT' AS "check", count(*) AS violations FROM named
+WHERE indicator_code = '1-URGENT' AND (value < 50000 OR value > 300000)
+UNION ALL SELECT 'range:2-HIGH', count(*) FROM named WHERE indicator_code = '2-HIGH' AND value < 1000
+UNION ALL SELECT 'range:3-MEDIUM', count(*) FROM named
+WHERE indicator_code = '3-MEDIUM' AND (value < 100000 OR value > 400000)""", *ORDER_GOLD, NAMED)
+sql("seed_csv", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+
 # --- Sinks and verification ----------------------------------------------------------
 
 sql("publish_counts", """
@@ -346,6 +355,9 @@ sql("search_result_cap", """
 SELECT CAST(doc_id AS VARCHAR) AS doc_id, 'Report no. ' || doc_id AS title, lang || ';' || source AS countries
 FROM documents ORDER BY documents.doc_id LIMIT 500""")
 
+ORACLE["landed_source"] = ORACLE["normalise_documents"] + " WHERE lang = 'en'"
+ORACLE["landed_stream"] = ORACLE["normalise_documents"]
+
 # --- Text -----------------------------------------------------------------------------------
 
 sql("doc_clean", f"SELECT doc_id, {collapse('text')} AS cleaned, length({collapse('text')}) AS n_chars FROM documents")
@@ -944,6 +956,18 @@ SELECT {UUID} AS session_id, count(*) AS n_messages FROM conversations WHERE con
 UNION ALL SELECT 'new', count(*) FROM conversations WHERE conv_id % 3 = 2
 UNION ALL SELECT 'all', count(*) FROM conversations""")
 
+sql("stored_messages", f"""
+SELECT CASE WHEN conv_id % 3 <> 2 THEN {UUID} END AS session_id, role, text AS content,
+       CASE WHEN conv_id % 3 = 2 THEN true END AS is_titled
+FROM conversations WHERE role IN ('user', 'assistant')""")
+sql("graph_node_ids", """
+SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'P' || page_id WHEN 1 THEN coalesce(nullif(url, ''), 'node-' || page_id)
+                     WHEN 2 THEN CAST(page_id AS VARCHAR) ELSE 'node-' || page_id END AS node FROM pages""")
+sql("embed_hook", """
+SELECT p_partkey, CAST(length(p_name) AS DOUBLE) AS n_chars,
+       CAST(length(p_name) - length(replace(p_name, ' ', '')) AS DOUBLE) AS n_blanks,
+       CAST(length(p_name) - length(regexp_replace(p_name, '[aeiou]', '', 'g')) AS DOUBLE) AS n_vowels FROM part""")
+
 # --- Event metrics ---------------------------------------------------------------------------------
 
 

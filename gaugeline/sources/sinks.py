@@ -190,3 +190,14 @@ def message_rows(assigned: DataFrame, role: str = "user") -> DataFrame:
         "session_id", F.lit(role).alias("role"), F.col("query").alias("content"),
         F.current_timestamp().alias("created_at"),
     )
+
+
+def append_chat(requests: DataFrame, sessions_path: str, messages_path: str, role: str = "user") -> None:
+    """Append the requests' new sessions, then their messages, to the stored tables.
+
+    In this order, no message is ever stored without its session. A session is
+    new if its request names no valid id; each such request opens one.
+    """
+    assigned = new_sessions(requests)
+    session_rows(assigned).write.mode("append").parquet(sessions_path)
+    message_rows(assigned, role).write.mode("append").parquet(messages_path)
