@@ -1,7 +1,7 @@
 """Landed result pages as a data source: ``spark.read.format("landed_pages")`` and ``spark.readStream``.
 
-Pages lie in ``query_no=<n>/page=<p>/`` below a folder, one text file each, and come as rows
-(query_no, page, body). A batch read is cut into partitions of ``pages_per_partition`` pages, and conditions on
+Pages lie in ``query_no=<n>/page=<p>/`` below a folder, one text file each, which may be compressed
+(.gz), and come as rows (query_no, page, body). A batch read is cut into partitions of ``pages_per_partition`` pages, and conditions on
 ``query_no`` and ``page`` leave out files before any is opened. The offset of a stream holds, for every query, how far
 its pages were read, so its size does not grow with the pages; a query's pages must land in rising order.
 """
@@ -158,9 +158,9 @@ def register(spark: SparkSession) -> None:
 
 
 def write_pages(pages: DataFrame, folder: str) -> None:
-    """Land pages of (query_no, page, body): one file for each page, beside those that are there."""
-    (pages.select("query_no", "page", "body").hint("rebalance", "query_no", "page")
-     .write.mode("append").partitionBy("query_no", "page").text(folder))
+    """Land pages of (query_no, page, body), a row a page: one compressed file for each, beside those that are there."""
+    (pages.select("query_no", "page", "body")
+     .write.mode("append").partitionBy("query_no", "page").text(folder, compression="gzip"))
 
 
 def read_landed(spark: SparkSession, folder: str, pages_per_partition: int = PAGES_PER_PARTITION) -> DataFrame:
