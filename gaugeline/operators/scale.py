@@ -8,6 +8,9 @@ from pyspark.sql.window import Window
 
 from gaugeline.session import materialize
 
+# Rows that a task groups and sorts at once, about 300 bytes each.
+ROWS_PER_TASK = 1_000_000
+
 
 def top_rows(
     df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str = "rank"
@@ -50,6 +53,17 @@ def spread_join(
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
+def deal_by(df: DataFrame, keys: list[str], n_rows: int, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Deal rows by a hash of ``keys`` to as many tasks as ``n_rows`` need at ``per_task`` each.
+
+    ``n_rows`` counts what the rows become after they are dealt (a join may
+    repeat each of them), which their bytes do not tell. The number is given, so adaptive
+    execution does not put the partitions together again.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, -(-n_rows // per_task)), *keys)
+
+
 def number_rows(df: DataFrame, key: str, name: str, tie: tuple[str, ...] = ()) -> DataFrame:
     """Number all rows 1, 2, 3… (long) in the order of ``key``, then of the ``tie`` columns.
 

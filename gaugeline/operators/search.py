@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from gaugeline import fixed_values as fv
 from gaugeline.functions.text import counted, let, words
-from gaugeline.operators.scale import top_rows
+from gaugeline.operators.scale import deal_by, top_rows
 from gaugeline.session import materialize
 
 # A word that no tokenizer produces; it carries the row count of a field.
@@ -247,9 +247,9 @@ def exact_words(asked: DataFrame, known: DataFrame) -> DataFrame:
 def word_weights(
     asked: DataFrame, matches: DataFrame, known: DataFrame, fields: list[tuple[str, float, str]]
 ) -> DataFrame:
-    """(query_id, field, word, weight, norms) of every word that scores for a query.
+    """(query_id, field, word, weight, norms, df) of every word that scores for a query.
 
-    The weight holds everything that does not depend on the scored row.
+    The weight holds everything that does not depend on the scored row; ``df`` is how many rows have the word.
     """
     field_rows = known.filter(F.col("word") == ALL_ROWS).select(
         "field", F.col("df").alias("n_rows"), (F.col("total_len") / F.col("df")).alias("avg_len"))
@@ -266,7 +266,8 @@ def word_weights(
         .groupBy("query_id", "field", "known_word")
         .agg(F.sum("weight").alias("weight"),
              F.first(F.when(is_text, fv.BM25_B).otherwise(0.0)).alias("b"),
-             F.first("avg_len").alias("avg_len"))
+             F.first("avg_len").alias("avg_len"),
+             F.first("df").alias("df"))
         .withColumnRenamed("known_word", "word")
         .filter(F.col("weight") > 0)
     )
@@ -280,13 +281,15 @@ def score_rows(index: DataFrame, weights: DataFrame, k: int, by_id: bool = False
     Spark broadcasts them if their bytes allow it; scoring then happens inside those
     partitions, and only ``k`` rows per query leave each of them. Larger
     weights meet the words in a shuffle join, whose hot words adaptive
-    execution splits. An index stored in buckets by id (``by_id``) is not moved for a broadcast.
+    execution splits. The postings are dealt to as many tasks as the scored ones need, since
+    a posting counts for every query with its word. An index stored in buckets by id (``by_id``) is not moved for a broadcast.
     """
     weights = materialize(weights, "word-weights")
     used = materialize(weights.select("field", "word").distinct(), "words-used")
     found = postings(index).join(used, ["field", "word"], "left_semi")
     if not by_id:
-        found = found.repartition("id")
+        n_scored = weights.agg(F.sum("df")).first()[0] or 0
+        found = deal_by(found, ["id"], n_scored)
     scored = found.join(weights, ["field", "word"])
     norm = 1.0 - F.col("b") + F.col("b") * F.col("len") / F.col("avg_len")
     part = F.col("weight") * F.col("tf") / (F.col("tf") + fv.BM25_K1 * norm)

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeline.operators import scale
+from gaugeline.operators import scale, search
+from gaugeline.operators.scale import deal_by
 from gaugeline.operators.silver import clean_observations
 from gaugeline.plans import adapt
 from gaugeline.plans.catalogue import QUERIES
@@ -104,3 +105,24 @@ def test_tables_of_a_scope_are_removed_when_it_ends(spark, tmp_path):
         assert len(stored() - before) == 1
         inner.write.parquet(str(tmp_path / "out"))
     assert stored() == before and kept.count() == 3 and spark.read.parquet(str(tmp_path / "out")).count() == 5
+
+
+def test_deal_by_count_of_what_rows_become(spark):
+    """Few bytes that a join will repeat are dealt by what they become, and stay so."""
+    rows = spark.range(1000).withColumnRenamed("id", "k")
+    cores = spark.sparkContext.defaultParallelism
+    assert deal_by(rows, ["k"], 10).rdd.getNumPartitions() == cores
+    dealt = deal_by(rows, ["k"], 100 * cores, per_task=10)
+    assert dealt.rdd.getNumPartitions() == 10 * cores
+    assert dealt.groupBy("k").count().rdd.getNumPartitions() == 10 * cores
+
+
+def test_search_deals_postings_by_what_the_queries_make_of_them(spark, monkeypatch):
+    """A word of all rows that every query asks for counts once for each query and row."""
+    asked = []
+    monkeypatch.setattr(search, "deal_by", lambda df, keys, n: asked.append((keys, n)) or deal_by(df, keys, n, per_task=50))
+    docs = spark.createDataFrame([(i, f"common word{i}") for i in range(40)], "doc_id long, text string")
+    queries = spark.createDataFrame([(q, f"common word{q}") for q in range(30)], "query_id long, query string")
+    hits = search.search(docs, queries, "doc_id", [("text", 1.0, "text")], k=2, fuzzy=False).collect()
+    assert asked == [(["id"], 30 * 40 + 30)]
+    assert len(hits) == 60 and {r["query_id"] for r in hits if r["rank"] == 1 and r["id"] == r["query_id"]} == set(range(30))
