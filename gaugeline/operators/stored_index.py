@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from gaugeline import fixed_values as fv
-from gaugeline.operators.scale import top_rows
+from gaugeline.operators.scale import deal_by, top_rows
 from gaugeline.operators.search import (
     ALL_ROWS,
     exact_words,
@@ -43,6 +43,7 @@ from gaugeline.sources.versions import commit, read_manifest, versions, write_pa
 BLOCK = 128
 BUCKETS = 32
 SEEDS = 4  # rows scored first, as a multiple of k
+SCORES_PER_TASK = 250_000  # a score is grouped twice and sorted twice by its task
 SLACK = 2e-6  # scores are compared at six places
 
 Fields = list[tuple[str, float, str]]
@@ -217,20 +218,27 @@ def _highest() -> Column:
 
 def _parts(blocks: DataFrame, gone: DataFrame | None) -> DataFrame:
     """(query_id, field, word, segment, id, part, …) of the postings in some blocks."""
-    kept = [name for name in ("credit",) if name in blocks.columns]
-    rows = blocks.select("query_id", "field", "word", "segment", "weight", "b", "avg_len", *kept, F.inline("rows"))
+    rows = blocks.select("query_id", "field", "word", "segment", "weight", "b", "avg_len", F.inline("rows"))
     part = F.col("weight") * saturated(F.col("tf"), F.col("len"), F.col("b"), F.col("avg_len"))
     return _live(rows.withColumn("part", part), gone)
 
 
 def _scores(forward: DataFrame, weights: DataFrame, wanted: DataFrame) -> DataFrame:
     """(query_id, id, score) of the rows ``wanted`` (query_id, segment, id), from their own word lists."""
-    found = forward.join(wanted, ["segment", "id"]).select("query_id", "id", "field", "len", F.inline("counts"))
+    row = F.struct("segment", "id").alias("row")
+    wanted = wanted.select("query_id", row)
+    used = weights.select("field", "word").distinct()
+    found = forward.select(row, "field", "len", F.inline("counts")).join(used, ["field", "word"], "left_semi").join(
+        wanted.select("row").distinct(), "row", "left_semi")
+    # Both sides by row, to as many tasks as the scores need: a row may be wanted by every query.
+    n_scores = wanted.count() * weights.select("field").distinct().count()
+    met = deal_by(found, ["row"], n_scores, SCORES_PER_TASK).join(deal_by(wanted, ["row"], n_scores, SCORES_PER_TASK), "row")
     part = F.col("weight") * saturated(F.col("tf"), F.col("len"), F.col("b"), F.col("avg_len"))
     return (
-        found.join(weights, ["query_id", "field", "word"])
-        .groupBy("query_id", "id", "field").agg(F.sum(part).alias("score"))
-        .groupBy("query_id", "id").agg(F.round(F.max("score"), 6).alias("score")))
+        met.join(weights, ["query_id", "field", "word"])
+        .groupBy("query_id", "row", "field").agg(F.sum(part).alias("score"))
+        .groupBy("query_id", "row").agg(F.round(F.max("score"), 6).alias("score"))
+        .select("query_id", "row.id", "score"))
 
 
 def _search(spark: SparkSession, folder: str, queries: DataFrame, k: int, fuzzy: bool) -> tuple[DataFrame, DataFrame]:
@@ -269,10 +277,17 @@ def _search(spark: SparkSession, folder: str, queries: DataFrame, k: int, fuzzy:
     needs = materialize(needs.withColumn("credit", F.greatest(F.lit(0.0), F.least("top", "need"))).withColumn(
         "bucket", bucket_of()), "block-needs")
     met = blocks.join(needs, ["bucket", "field", "word"])
-    kept = met.filter(_highest() >= F.col("need"))
     unread = needs.groupBy("query_id", "field").agg(F.sum("credit").alias("unread"), F.first("bar").alias("bar"))
-    partial = _parts(kept, gone).groupBy("query_id", "field", "segment", "id").agg(
-        F.sum("part").alias("part"), F.sum("credit").alias("credit"))
+    # A block is read once for all queries that need it; its postings meet them again where their row is dealt to.
+    asked = needs.select(*[F.col(name).alias(f"_{name}") for name in ("bucket", "field", "word")], "need", "weight", "b", "avg_len")
+    same = [F.col(name) == F.col(f"_{name}") for name in ("bucket", "field", "word")]
+    needed = blocks.join(asked, reduce(Column.__and__, same) & (_highest() >= F.col("need")), "left_semi")
+    postings = _live(needed.select(
+        "segment", "field", "word", "impact", "max_tf", "min_len", "average", F.inline("rows")), gone)
+    n_parts = met.filter(_highest() >= F.col("need")).agg(F.sum("n")).first()[0] or 0
+    kept = deal_by(postings, ["id"], n_parts).join(needs.drop("bucket", "bar", "top"), ["field", "word"]).filter(_highest() >= F.col("need"))
+    part = F.col("weight") * saturated(F.col("tf"), F.col("len"), F.col("b"), F.col("avg_len"))
+    partial = kept.groupBy("query_id", "field", "segment", "id").agg(F.sum(part).alias("part"), F.sum("credit").alias("credit"))
     possible = partial.join(unread, ["query_id", "field"]).filter(
         F.col("bar").isNull() | (F.col("part") + F.col("unread") - F.col("credit") >= F.col("bar") - SLACK))
     wanted = materialize(possible.select("query_id", "segment", "id").distinct(), "rows-in-reach")

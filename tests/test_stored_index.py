@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeline.operators import search, stored_index
+from gaugeline.operators import scale, search, stored_index
 from gaugeline.plans import adapt
 
 SF = "/root/testdata/sf0.001"
@@ -96,3 +96,16 @@ def test_empty_corpus_queries_and_repeated_ids(spark, tmp_path):
         search.search(corpus(spark, 20), asked(spark), "id", MIXED, 5))
     with pytest.raises(FileExistsError):
         stored_index.write_index(none, str(tmp_path / "b"), "id", MIXED)
+
+
+def test_rows_in_reach_of_many_queries_are_dealt_by_their_scores(spark, tmp_path, monkeypatch):
+    """Equal rows that every query asks for count once for each query and row, in the blocks and in the final scores."""
+    counts = []
+    monkeypatch.setattr(stored_index, "deal_by", lambda df, keys, n, per=50: counts.append(n) or scale.deal_by(df, keys, n, 50))
+    rows = spark.createDataFrame([(i, "same words") for i in range(40)], "id long, text string")
+    queries = spark.createDataFrame([(q, "same") for q in range(20)], "query_id long, query string")
+    stored_index.write_index(rows, str(tmp_path / "i"), "id", FIELDS)
+    hits = stored_index.search_stored(spark, str(tmp_path / "i"), queries, 3, fuzzy=False)
+    assert counts[-3:] == [20 * 40] * 3
+    scores = [r for r in hits.collect()]
+    assert sorted((r["query_id"], r["id"], r["rank"]) for r in scores) == [(q, i, i + 1) for q in range(20) for i in range(3)]
