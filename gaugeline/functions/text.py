@@ -103,7 +103,8 @@ def counted(items: Column) -> Column:
 
         return let(starts, count_from)
 
-    return F.when(F.size(items) > 0, let(F.sort_array(items), count_sorted))
+    # The items may be costly to make, so they are made once for their number and their order.
+    return let(items, lambda made: F.when(F.size(made) > 0, let(F.sort_array(made), count_sorted)))
 
 
 def thousands(value: Column) -> Column:

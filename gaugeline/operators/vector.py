@@ -71,11 +71,19 @@ def embed_hashed(df: DataFrame, text_col: str = "text", dimension: int = 256) ->
     text without words has all zeros. The default embedder, used where no model is given.
     """
     slot = lambda w: F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("long") % dimension
-    places = F.sequence(F.lit(0).cast("long"), F.lit(dimension - 1).cast("long"))
+
+    def zeros(n: Column) -> Column:
+        return F.array_repeat(F.lit(0.0).cast("float"), n.cast("int"))
 
     def unit(counts: Column) -> Column:
         length = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda total, c: total + c["tf"] * c["tf"]))
-        return let(F.struct(F.map_from_entries(counts).alias("tf"), length.alias("length")), lambda known: F.transform(
-            places, lambda i: F.coalesce(F.try_element_at(known["tf"], i) / known["length"], F.lit(0.0)).cast("float")))
+
+        # The slots ascend: each one follows the zeros since the one before, so the work grows with words and slots.
+        def filled(length: Column) -> Column:
+            return F.concat(F.flatten(F.transform(counts, lambda c, n: F.array_append(
+                zeros(c["word"] - F.coalesce(F.get(counts, n - 1)["word"], F.lit(-1)) - 1), (c["tf"] / length).cast("float")))),
+                zeros(dimension - 1 - F.element_at(counts, -1)["word"]))
+
+        return F.coalesce(let(length, filled), zeros(F.lit(dimension)))
 
     return df.withColumn("embedding", let(counted(F.transform(words(F.col(text_col)), slot)), unit))

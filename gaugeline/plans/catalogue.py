@@ -758,8 +758,11 @@ def hashed_embed(spark, sf):
     """Hashed word vectors of all chunks, one row for each slot that is not zero."""
     chunks = chunking.chunk_documents(adapt.documents(spark, sf).select("doc_id", "text"))
     embedded = vector.embed_hashed(chunks)
-    return embedded.select("chunk_id", "doc_id", F.posexplode("embedding").alias("slot", "weight")).where("weight <> 0").select(
-        "chunk_id", "doc_id", F.col("slot").cast("long").alias("slot"), F.round(F.col("weight").cast("double"), 5).alias("weight"))
+    # Taken out of the array as it is exploded: Spark tests an exploded column for entries first, which embeds every chunk twice.
+    filled = F.filter(F.transform("embedding", lambda w, slot: F.struct(
+        slot.cast("long").alias("slot"), w.alias("weight"))), lambda s: s["weight"] != 0)
+    return embedded.select("chunk_id", "doc_id", F.inline(filled)).select(
+        "chunk_id", "doc_id", "slot", F.round(F.col("weight").cast("double"), 5).alias("weight"))
 
 
 @query

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gaugeline import fixed_values as fv
 from gaugeline.operators import cells, context, fusion, graph, search, vector
 from gaugeline.operators.gold import seed_indicators
+from gaugeline.plans import catalogue
 
 PROPS = "map<string,string>"
 
@@ -211,6 +212,28 @@ def test_hashed_embedder(spark):
     assert not any(vectors[2])
 
 
+def test_hashed_embedder_fills_every_slot_in_its_place(spark):
+    """Words in the first and the last slot, in neighbouring ones and in one slot together."""
+    from hashlib import md5
+
+    texts = [" ".join(f"w{i}" for i in range(n)) for n in (1, 2, 40, 400)] + ["w1 w1 w2", "...", None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for dimension in (1, 3, 32):
+        for row in vector.embed_hashed(df, dimension=dimension).collect():
+            counts = [0] * dimension
+            for word in (row["text"] or "").replace("...", "").split():
+                counts[int(md5(word.encode()).hexdigest()[:8], 16) % dimension] += 1
+            length = sum(c * c for c in counts) ** 0.5 or 1.0
+            assert row["embedding"] == pytest.approx([c / length for c in counts], abs=1e-6)
+
+
+def test_hashed_embed_reads_the_words_of_a_chunk_once(spark, tmp_path):
+    spark.createDataFrame([(1, "a b a"), (2, None), (3, "...")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    slots = catalogue.QUERIES["hashed_embed"](spark, str(tmp_path))
+    assert slots._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(lower(") == 1
+    assert [r["weight"] for r in slots.orderBy("weight").collect()] == [round(1 / 5 ** 0.5, 5), round(2 / 5 ** 0.5, 5)]
+
+
 # --- Fusion ------------------------------------------------------------------------
 
 
