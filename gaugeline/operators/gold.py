@@ -91,6 +91,13 @@ def load_facts(
     The dimensions are tables, so Spark knows their sizes and broadcasts those
     under its threshold; the observations are then never shuffled here.
     """
+    return fact_columns(keyed_facts(silver, countries, indicators, dates, source_system), source_system)
+
+
+def keyed_facts(
+    silver: DataFrame, countries: DataFrame, indicators: DataFrame, dates: DataFrame, source_system: str = fv.SOURCE_SYSTEM
+) -> DataFrame:
+    """(indicator_key, country_key, date_key, year, value, loaded_at): what of a fact is not made of the rest."""
     start: Column = year_start(F.col("year"))
     own = indicators.filter(F.col("source_system") == source_system)
     return (
@@ -99,14 +106,19 @@ def load_facts(
         .join(countries.select("country_code", "country_key"), "country_code")
         .join(own.select("indicator_code", "indicator_key"), "indicator_code")
         .join(dates.select("full_date", "date_key"), "full_date")
-        .select(
-            "indicator_key", "country_key", "date_key",
-            F.col("full_date").alias("period_start"),
-            year_end(F.col("year")).alias("period_end"),
-            "value",
-            F.lit(source_system).alias("source_system"),
-            F.col("ingested_at").alias("loaded_at"),
-        )
+        .select("indicator_key", "country_key", "date_key", "year", "value", F.col("ingested_at").alias("loaded_at"))
+    )
+
+
+def fact_columns(keyed: DataFrame, source_system: str = fv.SOURCE_SYSTEM) -> DataFrame:
+    """The columns of the fact table, from ``keyed_facts``."""
+    return keyed.select(
+        "indicator_key", "country_key", "date_key",
+        year_start(F.col("year")).alias("period_start"),
+        year_end(F.col("year")).alias("period_end"),
+        "value",
+        F.lit(source_system).alias("source_system"),
+        "loaded_at",
     )
 
 
@@ -122,10 +134,11 @@ def build_gold(
     Facts are stored by country: a query for one country reads its partition
     only, found at run time from the filtered dimension. Adaptive execution
     sizes the write tasks, splitting a country that holds most of the facts.
+    Only what cannot be made of the rest is moved for that.
     """
     countries = materialize(dim_countries(country_seed, silver), "dim_countries")
     indicators = materialize(dim_indicators(indicator_seed, source_system), "dim_indicators")
     dates = materialize(calendar, "dim_dates")
-    facts = load_facts(silver, countries, indicators, dates, source_system)
-    fact = materialize(facts.hint("rebalance", "country_key"), "fact", ("country_key",))
+    facts = keyed_facts(silver, countries, indicators, dates, source_system)
+    fact = materialize(fact_columns(facts.hint("rebalance", "country_key"), source_system), "fact", ("country_key",))
     return Gold(countries, indicators, dates, fact)

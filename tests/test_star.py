@@ -138,3 +138,22 @@ def test_conflicts_and_authority(spark):
     chosen = {r["country_code"]: r["source_system"] for r in serving.authoritative(df, {"office": "VNM"}).collect()}
     assert chosen == {"VNM": "office", "THA": "world"}
     assert serving.authoritative(df, {"office": "VNM"}, "all").count() == 4
+
+
+def test_facts_are_moved_without_what_is_made_of_the_rest(spark, monkeypatch):
+    plans, store = {}, g.materialize
+
+    def watched(df, label, *rest):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return store(df, label, *rest)
+
+    monkeypatch.setattr(g, "materialize", watched)
+    observed = spark.createDataFrame(
+        [("VNM", "Vietnam", "NY.GDP.MKTP.CD", "GDP", 2020, 1.5, dt.datetime(2024, 1, 1), "world_bank")],
+        "country_code string, country_name string, indicator_code string, indicator_name string, year long, value double,"
+        " _ingested_at timestamp, _source string")
+    _, gold = build_star(observed)
+    moved = plans["fact"].split("RebalancePartitions")[1]
+    assert "make_date(year" in plans["fact"] and ", 12, 31" not in moved and "source_system AS" not in moved
+    assert [tuple(r) for r in gold.fact.select("period_start", "period_end", "value", "source_system").collect()] == [
+        (dt.date(2020, 1, 1), dt.date(2020, 12, 31), 1.5, "world_bank")]
