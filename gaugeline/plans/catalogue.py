@@ -22,6 +22,7 @@ from gaugeline.operators import (
     metrics,
     pages,
     quality,
+    scale,
     search,
     serving,
     silver,
@@ -733,13 +734,18 @@ def embed_text_compose(spark, sf):
     return indicators.unionByName(documents)
 
 
+VECTORS_PER_TASK = 50_000
+
+
 @query
 def embedding_store(spark, sf):
     """Embedding rows of the parts with their vectors, stored twice under the same keys.
 
     A vector is shown as its slots that are not zero, in hundred-thousandths.
     """
+    # A row grows by its vector: the parts are dealt by their number, for the bytes of a file do not tell it.
     parts = adapt.part_seed(spark, sf)
+    parts = scale.deal_by(parts, parts.columns, parts.count(), VECTORS_PER_TASK)
     texts = parts.withColumn("text", vector.indicator_text(
         F.col("indicator_code"), F.col("indicator_name"), F.col("category"), F.col("description")))
     columns = ["indicator_code", "indicator_name", "category", "description"]

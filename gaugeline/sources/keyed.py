@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeline.session import materialize
-from gaugeline.sources.sinks import newest, upsert
+from gaugeline.sources.sinks import newest, replace_rows
 from gaugeline.sources.versions import commit, folders, new_part, read_manifest, versions
 
 BUCKET = "__bucket"
@@ -83,9 +83,13 @@ def merge_table(new: DataFrame, folder: str, merge: Merge) -> dict:
 
 
 def upsert_table(new: DataFrame, folder: str, order: list[Column] | None = None) -> dict:
-    """Replace or add the rows of the new keys; ``order`` decides between several new rows of one key."""
+    """Replace or add the rows of the new keys; ``order`` decides between several new rows of one key.
+
+    It decides before the new rows are stored, in the tasks that make them: read
+    back, many more of them share a task, since files are packed by their compressed bytes.
+    """
     keys = read_manifest(new.sparkSession, folder)["keys"]
-    return merge_table(new, folder, lambda old, rows: upsert(old, rows, keys, order))
+    return merge_table(newest(new, keys, order), folder, lambda old, rows: replace_rows(old, rows, keys))
 
 
 def delete_keys(keys_gone: DataFrame, folder: str) -> dict:

@@ -121,7 +121,11 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list[Column]
     rows are only checked against the new keys: with few new rows those are
     broadcast and the old table is neither moved nor sorted.
     """
-    latest = newest(new, keys, order)
+    return replace_rows(old, newest(new, keys, order), keys)
+
+
+def replace_rows(old: DataFrame, latest: DataFrame, keys: list[str]) -> DataFrame:
+    """``upsert`` with new rows of which every key has one."""
     asked = latest.select(*[F.col(key).alias(f"_new_{key}") for key in keys])
     same = reduce(Column.__and__, [F.col(key).eqNullSafe(F.col(f"_new_{key}")) for key in keys])
     return old.join(asked, same, "left_anti").unionByName(latest)

@@ -115,3 +115,13 @@ def test_one_key_with_most_new_rows(spark, tmp_path):
     keyed.write_keyed(new, folder, ["kind", "id"], 8, [F.col("value").desc()])
     found = keyed.read_table(spark, folder)
     assert found.count() == 2001 and found.filter("id = 0").first()["value"] == "002997"
+
+
+def test_new_rows_are_stored_once_for_every_key(spark, tmp_path, monkeypatch):
+    """Which of several new rows of a key counts is settled before they are stored and read back."""
+    folder, stored, store = folder_of(tmp_path), [], keyed.materialize
+    keyed.create_table(rows(spark, [("a", 1, "v")]), folder, ["kind", "id"], 4)
+    monkeypatch.setattr(keyed, "materialize", lambda df, label: stored.append(store(df, label)) or stored[-1])
+    keyed.upsert_table(rows(spark, [("a", 1, "x"), ("a", 1, "w"), ("a", 2, "y")] * 3), folder)
+    assert stored[0].count() == 2
+    assert content(keyed.read_table(spark, folder)) == [("a", 1, "w"), ("a", 2, "y")]

@@ -234,6 +234,18 @@ def test_hashed_embed_reads_the_words_of_a_chunk_once(spark, tmp_path):
     assert [r["weight"] for r in slots.orderBy("weight").collect()] == [round(1 / 5 ** 0.5, 5), round(2 / 5 ** 0.5, 5)]
 
 
+def test_vectors_are_stored_in_tasks_of_bounded_rows(spark, tmp_path, monkeypatch):
+    """The parts are one small file; their vectors come in as many tasks as their number needs."""
+    part = spark.range(300).selectExpr(
+        "id AS p_partkey", "concat('part ', id) AS p_name", "'B' AS p_brand", "'SMALL' AS p_type", "1 AS p_size")
+    part.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    tasks, embed = [], vector.embed_hashed
+    monkeypatch.setattr(catalogue, "VECTORS_PER_TASK", 10, raising=False)
+    monkeypatch.setattr(catalogue.vector, "embed_hashed", lambda df, **named: tasks.append(df.rdd.getNumPartitions()) or embed(df, **named))
+    assert catalogue.QUERIES["embedding_store"](spark, str(tmp_path)).count() == 300
+    assert tasks == [30]
+
+
 # --- Fusion ------------------------------------------------------------------------
 
 
