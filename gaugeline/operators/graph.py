@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from gaugeline import fixed_values as fv
 from gaugeline.functions.text import let, or_empty, split_and_strip
-from gaugeline.operators.scale import top_rows
+from gaugeline.operators.scale import deal_by, top_rows
 from gaugeline.session import materialize
 from gaugeline.sources.sinks import newest, upsert
 
@@ -276,7 +276,8 @@ def containing(texts: DataFrame, text: str, terms: DataFrame, term: str) -> Data
     """Rows of ``texts`` with every term their text contains.
 
     A text that contains a term contains the term's first characters, so
-    candidates come from an equality join on those, and only they are compared.
+    candidates come from an equality join on those, and only they are compared. The
+    texts are dealt by their characters, each of which begins a candidate: many texts can lie in one small file.
     """
     keyed = materialize(terms.select(term).filter(F.length(term) > 0).distinct().withColumn(
         "_gram", F.left(term, F.lit(GRAM))), "terms")
@@ -292,8 +293,9 @@ def containing(texts: DataFrame, text: str, terms: DataFrame, term: str) -> Data
     if widths:
         unfolded = F.array_distinct(let(
             F.split(text, ""), lambda chars: F.concat(*[grams(chars, w) for w in sorted(widths)])))
+    n_chars = texts.agg(F.sum(F.length(text))).first()[0] or 0
     return (
-        texts.withColumn("_gram", F.explode(unfolded)).join(keyed, "_gram")
+        deal_by(texts, texts.columns, n_chars * len(widths)).withColumn("_gram", F.explode(unfolded)).join(keyed, "_gram")
         .filter(F.contains(F.col(text), F.col(term)))
         .drop("_gram")
     )

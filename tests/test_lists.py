@@ -101,3 +101,13 @@ def test_empty_graph(spark):
     assert lists.rows.count() == 0
     rows = graph.country_rows(nodes, edges.limit(0), nodes.filter("type = 'Country'").select(F.col("id").alias("c")), 30, lists).collect()
     assert len(rows) == 12 and all(r["i"] is None and r["cat"] is None for r in rows)
+
+
+def test_texts_of_one_small_file_are_searched_in_several_tasks(spark, tmp_path):
+    """A single file is one scan task; the characters of its texts are compared in many."""
+    spark.range(400).select("id", F.concat(F.lit("about item"), (F.col("id") % 7).cast("string"), F.lit(" and more")).alias("text")).coalesce(1).write.parquet(str(tmp_path / "t"))
+    texts = spark.read.parquet(str(tmp_path / "t"))
+    terms = spark.createDataFrame([("item3",), ("item5 and",), ("none",)], "term string")
+    got = graph.containing(texts, "text", terms, "term")
+    assert {(r["id"], r["term"]) for r in got.collect()} == {(i, t) for i in range(400) for t, n in (("item3", 3), ("item5 and", 5)) if i % 7 == n}
+    assert got.select(F.spark_partition_id().alias("p")).distinct().count() > 1
