@@ -11,8 +11,9 @@ A search reads the best blocks of each query's strongest words and scores the ro
 them whole: the k-th best is a score to reach. Words are then taken from the
 strongest (mostly the rarest) down. A block is skipped if its highest impact and
 the best of all later words together fall short of that score: a row met there first
-cannot get further. Rows that the remaining blocks leave in reach are scored
-whole from their own word lists, so the result is that of scoring everything.
+cannot get further. Of the rows that the remaining blocks leave in reach, those with the most in
+the blocks read are scored whole from their own word lists, which gives a higher score to reach; what
+it leaves in reach is scored whole too, so the result is that of scoring everything.
 """
 
 from __future__ import annotations
@@ -43,8 +44,10 @@ from gaugeline.sources.versions import commit, read_manifest, versions, write_pa
 BLOCK = 128
 BUCKETS = 32
 SEEDS = 4  # rows scored first, as a multiple of k
+LEADERS = 32  # rows scored whole before the others in reach, as a multiple of k
 SCORES_PER_TASK = 250_000  # a score is grouped twice and sorted twice by its task
 SLACK = 2e-6  # scores are compared at six places
+NOISE = 1e-9  # more than the order of a sum can change
 
 Fields = list[tuple[str, float, str]]
 
@@ -225,20 +228,34 @@ def _parts(blocks: DataFrame, gone: DataFrame | None) -> DataFrame:
 
 def _scores(forward: DataFrame, weights: DataFrame, wanted: DataFrame) -> DataFrame:
     """(query_id, id, score) of the rows ``wanted`` (query_id, segment, id), from their own word lists."""
-    row = F.struct("segment", "id").alias("row")
-    wanted = wanted.select("query_id", row)
+    row = ["segment", "id"]
+    wanted = wanted.select("query_id", *row)
+    n_wanted = wanted.count()
     used = weights.select("field", "word").distinct()
-    found = forward.select(row, "field", "len", F.inline("counts")).join(used, ["field", "word"], "left_semi").join(
-        wanted.select("row").distinct(), "row", "left_semi")
-    # Both sides by row, to as many tasks as the scores need: a row may be wanted by every query.
-    n_scores = wanted.count() * weights.select("field").distinct().count()
-    met = deal_by(found, ["row"], n_scores, SCORES_PER_TASK).join(deal_by(wanted, ["row"], n_scores, SCORES_PER_TASK), "row")
+    rows = forward.select(*row, "field", "len", "counts")
+    if n_wanted <= SCORES_PER_TASK:  # few rows are found before their words are unfolded
+        rows = rows.join(F.broadcast(wanted.select(*row).distinct()), row, "left_semi")
+    found = rows.select(*row, "field", "len", F.inline("counts")).join(used, ["field", "word"], "left_semi")
+    if n_wanted > SCORES_PER_TASK:
+        found = found.join(wanted.select(*row).distinct(), row, "left_semi")
+    # Both sides by row, to as many tasks as the scores need: a row may be wanted by every query. The size of
+    # the stored lists says little of the unfolded words, so the join does not go by it.
+    n_scores = n_wanted * weights.select("field").distinct().count()
+    met = deal_by(found, row, n_scores, SCORES_PER_TASK).hint("merge").join(deal_by(wanted, row, n_scores, SCORES_PER_TASK), row)
     part = F.col("weight") * saturated(F.col("tf"), F.col("len"), F.col("b"), F.col("avg_len"))
     return (
         met.join(weights, ["query_id", "field", "word"])
-        .groupBy("query_id", "row", "field").agg(F.sum(part).alias("score"))
-        .groupBy("query_id", "row").agg(F.round(F.max("score"), 6).alias("score"))
-        .select("query_id", "row.id", "score"))
+        .groupBy("query_id", *row, "field").agg(F.sum(part).alias("score"))
+        .groupBy("query_id", *row).agg(F.round(F.max("score"), 6).alias("score"))
+        .select("query_id", "id", "score"))
+
+
+def _reached(scores: DataFrame, k: int) -> DataFrame:
+    """(query_id, bar, last): the k-th best score of each query and its row's id, null where there are fewer rows."""
+    best = top_rows(scores, ["query_id"], [F.desc("score"), F.col("id")], k)
+    full = F.count("*") == k
+    return best.groupBy("query_id").agg(
+        F.when(full, F.min("score")).alias("bar"), F.when(full, F.max_by("id", "rank")).alias("last"))
 
 
 def _search(spark: SparkSession, folder: str, queries: DataFrame, k: int, fuzzy: bool) -> tuple[DataFrame, DataFrame]:
@@ -263,9 +280,7 @@ def _search(spark: SparkSession, folder: str, queries: DataFrame, k: int, fuzzy:
     sums = sums.groupBy("query_id", "segment", "id").agg(F.max("part").alias("part"))
     first = materialize(top_rows(
         sums, ["query_id"], [F.desc("part"), F.col("id")], SEEDS * k).select("query_id", "segment", "id"), "seed-rows")
-    reached = top_rows(_scores(forward, weights, first), ["query_id"], [F.desc("score"), F.col("id")], k).groupBy("query_id").agg(
-        F.when(F.count("*") == k, F.min("score")).alias("bar"))
-    reached = materialize(reached, "scores-to-reach")
+    reached = materialize(_reached(_scores(forward, weights, first), k).drop("last"), "scores-to-reach")
 
     # What a block of a word has to offer, given all that the words after it could still add.
     words = lists.groupBy("query_id", "field", "word").agg(
@@ -288,10 +303,22 @@ def _search(spark: SparkSession, folder: str, queries: DataFrame, k: int, fuzzy:
     kept = deal_by(postings, ["id"], n_parts).join(needs.drop("bucket", "bar", "top"), ["field", "word"]).filter(_highest() >= F.col("need"))
     part = F.col("weight") * saturated(F.col("tf"), F.col("len"), F.col("b"), F.col("avg_len"))
     partial = kept.groupBy("query_id", "field", "segment", "id").agg(F.sum(part).alias("part"), F.sum("credit").alias("credit"))
-    possible = partial.join(unread, ["query_id", "field"]).filter(
-        F.col("bar").isNull() | (F.col("part") + F.col("unread") - F.col("credit") >= F.col("bar") - SLACK))
-    wanted = materialize(possible.select("query_id", "segment", "id").distinct(), "rows-in-reach")
-    hits = top_rows(_scores(forward, weights, wanted), ["query_id"], [F.desc("score"), F.col("id")], k)
+    most = F.col("part") + F.col("unread") - F.col("credit")
+    possible = partial.join(unread, ["query_id", "field"]).withColumn("most", most).filter(
+        F.col("bar").isNull() | (F.col("most") >= F.col("bar") - SLACK))
+    possible = materialize(possible.groupBy("query_id", "segment", "id").agg(
+        F.max("part").alias("part"), F.max("most").alias("most")), "rows-in-reach")
+    row = ["query_id", "segment", "id"]
+    leaders = materialize(top_rows(possible, ["query_id"], [F.desc("part"), F.col("id")], LEADERS * k).select(*row), "leading-rows")
+    scored = materialize(_scores(forward, weights, leaders), "leading-scores")
+    # What falls short of their k-th best, or at most equals it and comes after its row, is not among the hits.
+    short = F.col("most") < F.col("bar") - SLACK
+    after_it = (F.round(F.col("most") + NOISE, 6) <= F.col("bar")) & (F.col("id") > F.col("last"))
+    rest = materialize(possible.join(_reached(scored, k), "query_id", "left").filter(
+        F.col("bar").isNull() | ~(short | after_it)).select(*row).join(leaders, row, "left_anti"), "rows-left")
+    if not rest.isEmpty():
+        scored = scored.unionByName(_scores(forward, weights, rest))
+    hits = top_rows(scored, ["query_id"], [F.desc("score"), F.col("id")], k)
 
     seeded = chosen.groupBy("query_id").agg(F.sum("n").alias("scored"), F.lit(0).cast("long").alias("postings"))
     counted = met.groupBy("query_id").agg(

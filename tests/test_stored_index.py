@@ -109,3 +109,27 @@ def test_rows_in_reach_of_many_queries_are_dealt_by_their_scores(spark, tmp_path
     assert counts[-3:] == [20 * 40] * 3
     scores = [r for r in hits.collect()]
     assert sorted((r["query_id"], r["id"], r["rank"]) for r in scores) == [(q, i, i + 1) for q in range(20) for i in range(3)]
+
+
+def test_rows_that_cannot_beat_the_leading_ones_are_not_scored(spark, tmp_path, monkeypatch):
+    """Of 320 rows with the stronger word, some are scored whole; those only equal to the k-th best and after it are not."""
+    counts = []
+    monkeypatch.setattr(stored_index, "deal_by", lambda df, keys, n, *per: counts.append(n) or scale.deal_by(df, keys, n, *per))
+    rows = spark.range(2_560).select(
+        "id", F.concat_ws(" ", F.concat(F.lit("a"), (F.col("id") % 8).cast("string")),
+                          F.concat(F.lit("b"), (F.floor(F.col("id") / 8) % 8).cast("string"))).alias("text"))
+    queries = spark.createDataFrame([(q, f"a{q} b{q}") for q in range(8)], "query_id long, query string")
+    stored_index.write_index(rows, str(tmp_path / "i"), "id", FIELDS)
+    hits = found(stored_index.search_stored(spark, str(tmp_path / "i"), queries, 3, fuzzy=False))
+    assert hits == found(search.search(rows, queries, "id", FIELDS, 3, fuzzy=False)) and len(hits) == 24
+    assert max(counts[-2:]) <= 8 * 3 * stored_index.LEADERS
+
+
+def test_rows_after_the_kth_score_with_more_to_come_are_scored(spark, tmp_path, monkeypatch):
+    """The best rows may have their words outside the blocks read first, whichever rows lead."""
+    monkeypatch.setattr(stored_index, "LEADERS", 1)
+    queries = asked(spark)
+    rows = corpus(spark, 900, seed=4)
+    stored_index.write_index(rows, str(tmp_path / "i"), "id", MIXED)
+    for k in (1, 5):
+        assert found(stored_index.search_stored(spark, str(tmp_path / "i"), queries, k)) == found(search.search(rows, queries, "id", MIXED, k=k))
