@@ -241,7 +241,8 @@ def _scores(forward: DataFrame, weights: DataFrame, wanted: DataFrame) -> DataFr
     # Both sides by row, to as many tasks as the scores need: a row may be wanted by every query. The size of
     # the stored lists says little of the unfolded words, so the join does not go by it.
     n_scores = n_wanted * weights.select("field").distinct().count()
-    met = deal_by(found, row, n_scores, SCORES_PER_TASK).hint("merge").join(deal_by(wanted, row, n_scores, SCORES_PER_TASK), row)
+    met = deal_by(found, row, n_scores, SCORES_PER_TASK).join(
+        deal_by(wanted, row, n_scores, SCORES_PER_TASK).hint("shuffle_hash"), row)
     part = F.col("weight") * saturated(F.col("tf"), F.col("len"), F.col("b"), F.col("avg_len"))
     return (
         met.join(weights, ["query_id", "field", "word"])
